@@ -1 +1,763 @@
-ORACLES = {}
+"""SQL counterparts of the registered queries, for DuckDB over the same tables.
+
+Each statement is put together from named building blocks (common table expressions) and a final
+select. Money is summed in whole cents and rounded half up with integers, because the engine divides
+decimals as doubles.
+"""
+
+from __future__ import annotations
+
+import re
+
+from tillhouse.operators.privacy import TEXT_MASKS, TEXT_PATTERNS
+from tillhouse.plans.checkpoints import SUITES
+
+RUN_ID = "run-2024-01-30"
+RUN_DATE = "DATE '2024-01-30'"
+STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
+
+
+def half_up(numerator: str, denominator: str, scale: int) -> str:
+    """round(numerator / denominator, digits) for whole non-negative numbers, scale = 10 ** digits."""
+    return f"((2 * {scale} * ({numerator}) + ({denominator})) // (2 * ({denominator}))) / {float(scale)}"
+
+
+def address(key: str) -> str:
+    street = f"cast({key} % 9000 + 100 as varchar) || ' Main St, Springfield, IL ' || lpad(cast({key} % 100000 as varchar), 5, '0')"
+    return f"CASE WHEN {key} % 5 = 0 THEN 'c/o Dr. Lee, ' || {street} ELSE {street} END"
+
+
+def card(key: str) -> str:
+    return (
+        f"lpad(cast({key} % 10000 as varchar), 4, '0') AS card_last4, "
+        f"CASE {key} % 3 WHEN 0 THEN 'Visa' WHEN 1 THEN 'Mastercard' ELSE 'Amex' END AS card_type"
+    )
+
+
+def hashed(key: str) -> str:
+    return f"sha256('user.' || cast({key} as varchar) || '@example.com')"
+
+
+ACTION = (
+    "CASE WHEN shipping_address LIKE 'c/o %' THEN 'suppress (entities: LOCATION, PERSON)' "
+    "ELSE 'suppress (entities: LOCATION)' END"
+)
+
+BLOCKS = {
+    "r_lines": """
+        SELECT * FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY l_orderkey, l_linenumber
+                ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS copy_no
+            FROM lineitem) WHERE copy_no = 1""",
+    "r_orders": f"""
+        SELECT 'ORD-' || l_orderkey || '-' || l_linenumber AS order_id,
+               'CUST-' || o_custkey AS customer_id,
+               'PROD-' || l_partkey AS product_id,
+               cast(l_quantity AS bigint) AS quantity,
+               cast(round(p_retailprice * 100) AS bigint) AS price_cents,
+               cast(round(l_extendedprice * 100) AS bigint) AS amount_cents,
+               cast(o_orderdate AS date) AS order_date,
+               CASE WHEN l_returnflag = 'R' THEN 'returned'
+                    WHEN o_orderstatus = 'O' THEN 'placed'
+                    WHEN o_orderstatus = 'P' AND l_linestatus = 'O' THEN 'paid'
+                    WHEN o_orderstatus = 'P' THEN 'shipped'
+                    ELSE 'delivered' END AS status,
+               {address('o_custkey')} AS shipping_address,
+               {card('l_orderkey')}
+        FROM r_lines JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
+    "r_customers": f"""
+        SELECT 'CUST-' || c_custkey AS customer_id, c_name,
+               {hashed('c_custkey')} AS hashed_email,
+               {address('c_custkey')} AS shipping_address,
+               length(cast(c_custkey AS varchar)) AS key_length,
+               first_order AS registration_date,
+               CASE WHEN c_acctbal >= 7500 THEN 'gold' WHEN c_acctbal >= 4000 THEN 'silver'
+                    WHEN c_acctbal < 0 THEN NULL ELSE 'bronze' END AS tier
+        FROM customer LEFT JOIN (
+            SELECT o_custkey, min(cast(o_orderdate AS date)) AS first_order FROM orders GROUP BY o_custkey) f
+        ON c_custkey = o_custkey""",
+    "r_products": """
+        SELECT 'PROD-' || p_partkey AS product_id, p_name AS product_name, p_type AS category, p_brand AS subcategory,
+               cast(round(p_retailprice * 100) AS bigint) AS price_cents,
+               (cast(round(p_retailprice * 100) AS bigint) * (35 + p_size % 31) + 50) // 100 AS cost_cents,
+               'SUPP-' || (p_partkey % 100) AS supplier_id,
+               cast(p_size AS bigint) AS reorder_threshold,
+               cast(p_size AS bigint) * 10 AS current_stock
+        FROM part""",
+    "r_inventory": """
+        SELECT 'INV-' || l_partkey || '-' || strftime(m, '%Y%m') AS inventory_id,
+               'PROD-' || l_partkey AS product_id, m AS date, stock_level,
+               cast(p_size AS bigint) AS reorder_threshold, units_sold, units_received
+        FROM (
+            SELECT l_partkey, cast(date_trunc('month', l_shipdate) AS date) AS m,
+                   cast(coalesce(sum(l_quantity) FILTER (l_linestatus = 'O'), 0) AS bigint) AS stock_level,
+                   cast(coalesce(sum(l_quantity) FILTER (l_linestatus = 'F'), 0) AS bigint) AS units_sold,
+                   cast(coalesce(sum(l_quantity) FILTER (l_returnflag = 'R'), 0) AS bigint) AS units_received
+            FROM lineitem GROUP BY 1, 2) JOIN part ON l_partkey = p_partkey""",
+    "r_roles": """
+        SELECT *, CASE event_type WHEN 'signup' THEN 'customer_registered' WHEN 'view' THEN 'item_added_to_cart'
+                  WHEN 'purchase' THEN 'order_placed' WHEN 'click' THEN 'payment_processed'
+                  ELSE 'order_returned' END AS role,
+               cast(regexp_extract(props, '[0-9]+') AS bigint) AS item
+        FROM events""",
+    "r_bronze": f"""
+        SELECT 'EVT-' || event_id AS event_id, role AS event_type,
+               date_trunc('milliseconds', ts + to_seconds(delay)) AS event_timestamp,
+               CASE WHEN role <> 'customer_registered' THEN 'ORD-' || event_id END AS order_id,
+               'CUST-' || user_id AS customer_id, user_id,
+               CASE WHEN role <> 'customer_registered' THEN 'PROD-' || item END AS product_id,
+               CASE WHEN role <> 'customer_registered' THEN item END AS quantity,
+               CASE WHEN role <> 'customer_registered' THEN value END AS order_amount,
+               CASE WHEN role = 'order_placed' THEN {address('user_id')} END AS shipping_address,
+               {card('event_id')},
+               CASE role WHEN 'customer_registered' THEN 'active' WHEN 'item_added_to_cart' THEN 'in_cart'
+                    WHEN 'order_placed' THEN 'placed' WHEN 'payment_processed' THEN 'paid' ELSE 'returned' END AS status
+        FROM r_roles, (VALUES (0), (5)) AS d(delay)
+        WHERE delay = 0 OR event_id % 7 = 0""",
+    "r_first": """
+        SELECT * FROM (
+            SELECT *, row_number() OVER (PARTITION BY event_id, event_type ORDER BY event_timestamp) AS copy_no FROM r_bronze)
+        WHERE copy_no = 1""",
+    "r_events": """
+        SELECT * FROM r_first WHERE order_id IS NOT NULL AND customer_id IS NOT NULL""",
+    "r_parsed": """
+        SELECT *, CASE WHEN order_amount >= 250 THEN 'malformed'
+                       WHEN quantity = 99 THEN 'unknown:event_type' END AS reject_reason
+        FROM r_bronze""",
+    "r_dates": """
+        SELECT cast(d AS date) AS full_date, cast(strftime(d, '%Y%m%d') AS bigint) AS date_key
+        FROM generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY) AS t(d)""",
+    "r_customer_keys": "SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS customer_key FROM r_customers",
+    "r_product_keys": "SELECT product_id, row_number() OVER (ORDER BY product_id) AS product_key FROM r_products",
+    "r_totals": """
+        SELECT customer_id, count(*) AS n, cast(sum(amount_cents) AS bigint) AS cents
+        FROM r_orders WHERE status <> 'placed' GROUP BY 1""",
+    "r_customer_dim": """
+        SELECT customer_id, hashed_email, tier, registration_date, coalesce(n, 0) AS total_orders,
+               coalesce(cents, 0) AS spent_cents
+        FROM r_customers LEFT JOIN r_totals USING (customer_id)""",
+    "r_velocity": """
+        SELECT product_id, cast(sum(quantity) AS bigint) AS units_sold,
+               (SELECT max(order_date) - min(order_date) + 1 FROM r_orders) AS total_days
+        FROM r_orders WHERE status <> 'placed' GROUP BY 1""",
+    "r_stock": f"""
+        SELECT i.*, i.stock_level < i.reorder_threshold AS is_below_reorder,
+               CASE WHEN v.units_sold > 0 THEN {half_up('i.stock_level * v.total_days', 'v.units_sold', 10)} END AS days_left
+        FROM r_inventory i LEFT JOIN r_velocity v USING (product_id)""",
+    "r_sales": f"""
+        SELECT order_date AS period_date, category, subcategory, count(*) AS total_orders,
+               cast(sum(amount_cents) AS bigint) AS cents, count(DISTINCT customer_id) AS unique_customers,
+               cast(sum(quantity) AS bigint) AS total_items_sold,
+               count(*) FILTER (status = 'returned') AS returned_orders
+        FROM r_orders LEFT JOIN r_products USING (product_id) WHERE status <> 'placed' GROUP BY 1, 2, 3""",
+    "r_returns": f"""
+        SELECT *, (20000 * returned_orders + total_orders) // (2 * total_orders) AS rate FROM (
+            SELECT cast(date_trunc('month', order_date) AS date) AS period_date, product_id, product_name, category,
+                   count(*) AS total_orders, count(*) FILTER (status = 'returned') AS returned_orders
+            FROM r_orders JOIN r_products USING (product_id) GROUP BY 1, 2, 3, 4)""",
+    "r_return_mart": """
+        SELECT *, lag(rate) OVER (PARTITION BY product_id ORDER BY period_date) AS prev FROM r_returns""",
+    "r_cohorts": f"""
+        SELECT cohort_week, weeks AS weeks_since_acquisition, size AS customers_in_cohort, active AS active_customers,
+               {half_up('active', 'size', 10000)} AS retention_rate
+        FROM (
+            SELECT cohort_week, (order_week - cohort_week) // 7 AS weeks, count(DISTINCT customer_id) AS active
+            FROM (SELECT customer_id, cast(date_trunc('week', registration_date) AS date) AS cohort_week
+                  FROM r_customers WHERE registration_date IS NOT NULL)
+            JOIN (SELECT customer_id, cast(date_trunc('week', order_date) AS date) AS order_week FROM r_orders) USING (customer_id)
+            WHERE order_week >= cohort_week GROUP BY 1, 2)
+        JOIN (SELECT cast(date_trunc('week', registration_date) AS date) AS cohort_week, count(DISTINCT customer_id) AS size
+              FROM r_customers WHERE registration_date IS NOT NULL GROUP BY 1) USING (cohort_week)""",
+    "r_alerts": """
+        SELECT product_id, product_name, category, subcategory, supplier_id, stock_level AS current_stock_level,
+               s.reorder_threshold, days_left AS days_of_stock_remaining,
+               CASE WHEN stock_level < s.reorder_threshold THEN 'red'
+                    WHEN stock_level * 10 < s.reorder_threshold * 12 THEN 'yellow' ELSE 'green' END AS alert_level,
+               date AS snapshot_date
+        FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY date DESC) AS rn FROM r_stock) s
+        JOIN r_products USING (product_id) WHERE rn = 1""",
+    "r_audit": f"""
+        SELECT event_id AS record_id, event_id, field_name, masking_action, original_length, event_timestamp AS masked_at
+        FROM (
+            SELECT event_id, event_timestamp, 'customer_name' AS field_name, 'replace' AS masking_action,
+                   length('Customer ' || user_id) AS original_length FROM r_events
+            UNION ALL
+            SELECT event_id, event_timestamp, 'customer_email', 'sha256_hash', length(' User.' || user_id || '@Example.com ') FROM r_events
+            UNION ALL
+            SELECT event_id, event_timestamp, 'customer_phone', 'replace', length('+1202') + greatest(7, length(user_id::varchar)) FROM r_events
+            UNION ALL
+            SELECT event_id, event_timestamp, 'shipping_address', {ACTION}, length(shipping_address)
+            FROM r_events WHERE shipping_address IS NOT NULL)""",
+    "r_runs": """
+        SELECT 'run-' || strftime(order_date, '%Y%m%d') AS run_id, 'silver' AS stage, order_date,
+               order_date::timestamp + INTERVAL 2 HOUR AS start_time,
+               order_date::timestamp + INTERVAL 2 HOUR + to_seconds(60 + n) AS end_time,
+               n AS records_processed, bad AS records_failed, n AS pii_events_masked,
+               CASE WHEN bad * 4 > n * 3 THEN 'failed' ELSE 'success' END AS status
+        FROM (SELECT order_date, count(*) AS n, count(*) FILTER (amount_cents > 5000000) AS bad FROM r_orders GROUP BY 1)""",
+    "r_month_checks": """
+        SELECT month, 'checkpoint_silver_orders' AS checkpoint_name, 'silver_orders' AS suite_name, 8 AS rules,
+               cast(bool_or(order_id IS NULL) AS bigint) + cast(bool_or(customer_id IS NULL) AS bigint)
+               + cast(bool_or(product_id IS NULL) AS bigint) + cast(bool_or(amount_cents IS NULL) AS bigint)
+               + cast(count(order_id) <> count(DISTINCT order_id) AS bigint)
+               + cast(coalesce(bool_or(amount_cents NOT BETWEEN 1 AND 5000000), false) AS bigint)
+               + cast(coalesce(bool_or(quantity NOT BETWEEN 1 AND 1000), false) AS bigint) AS failed
+        FROM (SELECT *, cast(date_trunc('month', order_date) AS date) AS month FROM r_orders) GROUP BY month
+        UNION ALL
+        SELECT date, 'checkpoint_silver_inventory', 'silver_inventory', 5,
+               cast(bool_or(product_id IS NULL) AS bigint) + cast(bool_or(stock_level IS NULL) AS bigint)
+               + cast(coalesce(bool_or(stock_level NOT BETWEEN 0 AND 1000000), false) AS bigint)
+               + cast(coalesce(bool_or(units_sold NOT BETWEEN 0 AND 100000), false) AS bigint)
+        FROM r_inventory GROUP BY date""",
+    "r_validation": f"""
+        SELECT 'run-' || strftime(month, '%Y%m') AS run_id, checkpoint_name, suite_name, failed = 0 AS success,
+               rules AS evaluated_expectations, rules - failed AS successful_expectations, failed AS failed_expectations,
+               month::timestamp AS run_ts
+        FROM r_month_checks""",
+    "r_panes": """
+        SELECT time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS pane, event_type, count(*) AS events
+        FROM r_bronze GROUP BY 1, 2""",
+    "r_sliding": """
+        SELECT pane - to_minutes(5 * k) AS window_start, event_type, cast(sum(events) AS bigint) AS events
+        FROM r_panes, generate_series(0, 11) AS t(k) GROUP BY 1, 2""",
+}
+
+
+def build(final: str) -> str:
+    """The final select with the blocks it needs, in dependency order."""
+    needed: set[str] = set()
+
+    def visit(text: str) -> None:
+        for name in BLOCKS:
+            if name not in needed and re.search(rf"\b{name}\b", text):
+                needed.add(name)
+                visit(BLOCKS[name])
+
+    visit(final)
+    parts = [f"{name} AS ({BLOCKS[name]})" for name in BLOCKS if name in needed]
+    return (f"WITH {', '.join(parts)} " if parts else "") + final
+
+
+def stamp(c: str) -> str:
+    return f"strftime({c}, {STAMP})"
+
+
+def day(c: str) -> str:
+    return f"cast({c} AS varchar)"
+
+
+ORDER_COLUMNS = """order_id, customer_id, product_id, quantity, price_cents / 100.0 AS unit_price,
+    amount_cents / 100.0 AS order_amount, cast(order_date AS varchar) AS order_date, status"""
+DATE_COLUMNS = """cast(strftime(d, '%Y%m%d') AS bigint) AS date_key, cast(cast(d AS date) AS varchar) AS full_date,
+    year(d) AS year, quarter(d) AS quarter, month(d) AS month, monthname(d) AS month_name, week(d) AS week_of_year,
+    day(d) AS day_of_month, isodow(d) AS day_of_week, dayname(d) AS day_name, isodow(d) IN (6, 7) AS is_weekend"""
+RUN_COLUMNS = f"""run_id, stage, {stamp('start_time')} AS start_time, {stamp('end_time')} AS end_time,
+    records_processed, records_failed, pii_events_masked, status"""
+RATE = f"""{stamp('window_start')} AS window_start, {stamp('window_end')} AS window_end, event_type, events"""
+DROP_COLUMNS = "table_name, rows_in, missing_event_id, repeated_copies, missing_key, rows_out"
+
+FINALS: dict[str, str] = {}
+
+# --- Bronze and ingest ----------------------------------------------------------------------------
+
+FINALS["parse_events"] = """
+    SELECT event_id, event_type, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%gZ') AS event_timestamp, order_id, customer_id,
+           ' User.' || user_id || '@Example.com ' AS customer_email, quantity, order_amount, status
+    FROM r_parsed WHERE reject_reason IS NULL"""
+FINALS["quarantine_events"] = """
+    SELECT reject_reason, count(*) AS messages FROM r_parsed WHERE reject_reason IS NOT NULL GROUP BY 1"""
+FINALS["ingest_metrics"] = """
+    SELECT CASE WHEN reject_reason IS NULL THEN event_type ELSE 'unknown' END AS event_type,
+           count(*) FILTER (reject_reason IS NULL) AS processed, count(*) FILTER (reject_reason IS NOT NULL) AS failed
+    FROM r_parsed GROUP BY 1"""
+FINALS["stream_bronze"] = f"""
+    SELECT event_type, {day('event_timestamp::date')} AS date, count(*) AS rows, count(DISTINCT event_id) AS event_ids
+    FROM r_parsed WHERE reject_reason IS NULL GROUP BY 1, 2"""
+FINALS["event_date"] = f"""
+    SELECT event_type, {day('event_timestamp::date')} AS date, count(*) AS rows FROM r_bronze GROUP BY 1, 2"""
+FINALS["pin_event_date"] = f"""
+    SELECT event_id, event_type, {stamp(f"{RUN_DATE} + event_timestamp::time")} AS event_timestamp FROM r_bronze"""
+FINALS["stream_dedup_events"] = "SELECT event_id, event_type, customer_id FROM r_first"
+FINALS["stream_event_rate_5m"] = f"""
+    SELECT {RATE}, events / 300.0 AS per_second
+    FROM (SELECT pane AS window_start, pane + INTERVAL 5 MINUTE AS window_end, event_type, events FROM r_panes)
+    WHERE window_end <= (SELECT max(event_timestamp) - INTERVAL 1 HOUR FROM r_bronze)"""
+FINALS["ingest_once"] = """
+    SELECT DISTINCT strftime(date, '%Y%m') AS drop_id FROM r_inventory
+    WHERE strftime(date, '%Y%m') NOT IN (SELECT strftime(order_date, '%Y%m') FROM r_orders)"""
+FINALS["expire_partitions"] = f"""
+    SELECT {day('event_timestamp::date')} AS date, count(*) AS rows FROM r_bronze
+    WHERE event_timestamp::date < {RUN_DATE} - 7 GROUP BY 1"""
+FINALS["drop_expired"] = f"""
+    SELECT {day('event_timestamp::date')} AS date, event_type, count(*) AS rows FROM r_bronze
+    WHERE event_timestamp::date >= {RUN_DATE} - 7 GROUP BY 1, 2"""
+
+# --- Silver ---------------------------------------------------------------------------------------
+
+FINALS["silver_events"] = f"""
+    SELECT event_id, event_type, {stamp('event_timestamp')} AS event_timestamp, order_id, customer_id,
+           'MASKED_NAME' AS customer_name, {hashed('user_id')} AS hashed_email, 'MASKED_PHONE' AS customer_phone,
+           product_id, cast(NULL AS varchar) AS product_name, cast(NULL AS varchar) AS category, quantity,
+           cast(NULL AS double) AS unit_price, order_amount, cast(NULL AS varchar) AS shipping_address,
+           card_last4, card_type, status, cast(NULL AS bigint) AS stock_level, cast(NULL AS bigint) AS reorder_threshold,
+           '2024-01-30' AS ingestion_date
+    FROM r_events"""
+FINALS["silver_customers"] = f"""
+    SELECT customer_id, 'MASKED_NAME' AS customer_name, hashed_email, 'MASKED_PHONE' AS customer_phone,
+           cast(NULL AS varchar) AS shipping_address, {day('registration_date')} AS registration_date, tier,
+           cast(0 AS bigint) AS total_orders, cast(0 AS double) AS total_spent
+    FROM r_customers"""
+FINALS["silver_products"] = """
+    SELECT product_id, product_name, category, subcategory, price_cents / 100.0 AS unit_price, cost_cents / 100.0 AS cost_price,
+           supplier_id, reorder_threshold, current_stock FROM r_products"""
+FINALS["silver_orders"] = f"""
+    SELECT {ORDER_COLUMNS}, cast(NULL AS varchar) AS shipping_address, card_last4, card_type FROM r_orders"""
+FINALS["silver_inventory"] = f"""
+    SELECT inventory_id, product_id, {day('date')} AS date, stock_level, reorder_threshold, units_sold, units_received
+    FROM r_inventory"""
+FINALS["silver_drop_counts"] = f"""
+    SELECT {DROP_COLUMNS} FROM (
+        SELECT 'events' AS table_name, (SELECT count(*) FROM r_bronze) AS rows_in,
+               (SELECT count(*) FROM r_bronze WHERE event_id IS NULL) AS missing_event_id,
+               (SELECT count(*) FROM r_bronze) - (SELECT count(*) FROM r_first) AS repeated_copies,
+               (SELECT count(*) FROM r_first) - (SELECT count(*) FROM r_events) AS missing_key,
+               (SELECT count(*) FROM r_events) AS rows_out
+        UNION ALL SELECT 'products', count(*), 0, 0, count(*) - count(product_id), count(product_id) FROM r_products
+        UNION ALL SELECT 'inventory', count(*), 0, 0, count(*) - count(product_id), count(product_id) FROM r_inventory)"""
+FINALS["cast_failures"] = """
+    SELECT 'tier' AS column_name, count(*) FILTER (tier IS NULL) AS failures FROM r_customers
+    UNION ALL SELECT unnest(['registration_date', 'total_spent', 'total_orders']), 0"""
+FINALS["dedup_order_lines"] = """
+    SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM r_lines"""
+FINALS["dedup_event_copies"] = f"""
+    SELECT event_id, event_type, {stamp('event_timestamp')} AS event_timestamp, customer_id FROM r_first"""
+FINALS["dedup_latest_snapshot"] = f"""
+    SELECT product_id, {day('date')} AS date, stock_level, units_sold
+    FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY date DESC) AS rn FROM r_inventory) WHERE rn = 1"""
+
+# --- privacy --------------------------------------------------------------------------------------
+
+FINALS["pii_mask_customers"] = """
+    SELECT customer_id, 'MASKED_NAME' AS customer_name, hashed_email, 'MASKED_PHONE' AS customer_phone,
+           cast(NULL AS varchar) AS shipping_address FROM r_customers"""
+FINALS["pii_mask_orders"] = """
+    SELECT order_id, cast(NULL AS varchar) AS shipping_address, card_last4, card_type FROM r_orders"""
+FINALS["pii_audit_rows"] = f"""
+    SELECT record_id, event_id, field_name, masking_action, original_length, '{RUN_ID}' AS pipeline_run_id FROM (
+        SELECT record_id, event_id, field_name, masking_action, original_length FROM r_audit
+        UNION ALL SELECT customer_id, NULL, 'customer_name', 'replace', length(c_name) FROM r_customers
+        UNION ALL SELECT customer_id, NULL, 'customer_email', 'sha256_hash', length(' User.@Example.com ') + key_length FROM r_customers
+        UNION ALL SELECT customer_id, NULL, 'customer_phone', 'replace', length('+1202') + greatest(7, key_length) FROM r_customers
+        UNION ALL SELECT customer_id, NULL, 'shipping_address', {ACTION}, length(shipping_address) FROM r_customers)"""
+FINALS["pii_masked_count"] = "SELECT field_name, count(*) AS masked_values FROM r_audit GROUP BY 1"
+FINALS["pii_entities"] = f"SELECT {ACTION} AS masking_action, count(*) AS addresses FROM r_customers GROUP BY 1"
+_SCAN = ", ".join(f"cast(len(regexp_extract_all(text, '{p}')) AS bigint) AS {kind}_count" for kind, p in TEXT_PATTERNS.items())
+FINALS["pii_scan_documents"] = f"SELECT doc_id, {_SCAN} FROM documents"
+_REDACTED = "text"
+for _kind, _pattern in TEXT_PATTERNS.items():
+    _REDACTED = f"regexp_replace({_REDACTED}, '{_pattern}', '{TEXT_MASKS[_kind]}', 'g')"
+FINALS["pii_redact_documents"] = f"SELECT doc_id, {_REDACTED} AS text FROM documents"
+
+# --- staging --------------------------------------------------------------------------------------
+
+FINALS["stg_events"] = f"""
+    SELECT event_id, event_type, {stamp('event_timestamp')} AS event_timestamp, order_id, customer_id, product_id, quantity,
+           order_amount, status FROM r_events"""
+FINALS["stg_customers"] = f"""
+    SELECT customer_id, hashed_email, tier, {day('registration_date')} AS registration_date,
+           'MASKED_NAME' AS masked_customer_name, 'MASKED_PHONE' AS masked_customer_phone FROM r_customers"""
+FINALS["stg_products"] = FINALS["silver_products"]
+FINALS["stg_orders"] = f"SELECT {ORDER_COLUMNS}, card_last4, card_type FROM r_orders"
+FINALS["stg_inventory"] = f"""
+    SELECT product_id, {day('date')} AS inventory_date, stock_level, reorder_threshold, units_sold, units_received FROM r_inventory"""
+
+# --- gold -----------------------------------------------------------------------------------------
+
+FINALS["surrogate_keys"] = "SELECT customer_key, customer_id FROM r_customer_keys"
+FINALS["dim_customers"] = f"""
+    SELECT customer_key, customer_id, hashed_email, tier, {day('registration_date')} AS registration_date, total_orders,
+           spent_cents / 100.0 AS total_spent
+    FROM r_customer_dim JOIN r_customer_keys USING (customer_id)"""
+FINALS["dim_products"] = f"""
+    SELECT product_key, product_id, product_name, category, subcategory, price_cents / 100.0 AS unit_price,
+           cost_cents / 100.0 AS cost_price,
+           CASE WHEN price_cents <> 0 THEN {half_up('(price_cents - cost_cents) * 100', 'price_cents', 100)} END AS margin_pct,
+           supplier_id, reorder_threshold, current_stock
+    FROM r_products JOIN r_product_keys USING (product_id)"""
+FINALS["dim_date"] = f"""
+    SELECT {DATE_COLUMNS}
+    FROM (SELECT unnest(generate_series(min(order_date)::timestamp, max(order_date)::timestamp, INTERVAL 1 DAY)) AS d FROM r_orders)"""
+FINALS["date_spine"] = f"""
+    SELECT {DATE_COLUMNS}
+    FROM (SELECT unnest(generate_series(date_trunc('day', min(event_timestamp))::timestamp, date_trunc('day', max(event_timestamp))::timestamp, INTERVAL 1 DAY)) AS d
+          FROM r_events)"""
+FINALS["dim_geography"] = """
+    SELECT cast(1 AS bigint) AS geography_key, 'Unknown — address masked for privacy' AS geography_name, count(*) AS orders FROM r_orders"""
+FINALS["fact_orders"] = """
+    SELECT row_number() OVER (ORDER BY order_id) AS order_key, order_id, customer_key, product_key, date_key,
+           cast(1 AS bigint) AS geography_key, quantity, o.price_cents / 100.0 AS unit_price, amount_cents / 100.0 AS order_amount,
+           status, card_type, status = 'returned' AS is_returned
+    FROM r_orders o LEFT JOIN r_customer_keys USING (customer_id) LEFT JOIN r_product_keys USING (product_id)
+         LEFT JOIN r_dates ON order_date = full_date"""
+FINALS["fact_events"] = f"""
+    SELECT row_number() OVER (ORDER BY event_timestamp, event_id) AS event_key, event_id, event_type,
+           {stamp('event_timestamp')} AS event_timestamp, customer_key, product_key,
+           cast(strftime(event_timestamp, '%Y%m%d') AS bigint) AS date_key, order_id, order_amount, quantity, status
+    FROM r_events LEFT JOIN r_customer_keys USING (customer_id) LEFT JOIN r_product_keys USING (product_id)"""
+FINALS["fact_inventory_snapshots"] = """
+    SELECT row_number() OVER (ORDER BY product_id, date_key) AS snapshot_key, product_key, date_key, stock_level, reorder_threshold,
+           units_sold, units_received, is_below_reorder, days_left AS days_of_stock_remaining
+    FROM r_stock LEFT JOIN r_product_keys USING (product_id) LEFT JOIN r_dates ON date = full_date"""
+FINALS["inventory_velocity"] = """
+    SELECT product_id, units_sold, total_days, units_sold / total_days AS avg_daily_units_sold FROM r_velocity"""
+
+
+def _snapshot(at: str) -> str:
+    """Customers with an order in the year before ``at`` and their totals up to then."""
+    return f"""
+        SELECT customer_id, hashed_email, tier, registration_date, coalesce(n, 0) AS total_orders, coalesce(cents, 0) AS spent
+        FROM r_customers LEFT JOIN (
+            SELECT customer_id, count(*) AS n, cast(sum(amount_cents) AS bigint) AS cents FROM r_orders
+            WHERE status <> 'placed' AND order_date < DATE '{at}' GROUP BY 1) USING (customer_id)
+        WHERE customer_id IN (SELECT customer_id FROM r_orders
+                              WHERE order_date < DATE '{at}' AND order_date >= DATE '{at}' - INTERVAL 1 YEAR)"""
+
+
+_FIRST, _SECOND = "1998-01-01", "2000-01-01"
+FINALS["scd2_customers"] = f"""
+    , a AS ({_snapshot(_FIRST)}), b AS ({_snapshot(_SECOND)}),
+    pairs AS (
+        SELECT a.customer_id AS a_id, b.customer_id AS b_id,
+               b.customer_id IS NULL OR a.tier IS DISTINCT FROM b.tier OR a.total_orders IS DISTINCT FROM b.total_orders
+               OR a.spent IS DISTINCT FROM b.spent AS ends
+        FROM a FULL JOIN b USING (customer_id)),
+    versions AS (
+        SELECT a.*, '{_FIRST}' AS valid_from, CASE WHEN ends THEN '{_SECOND}' END AS valid_to
+        FROM a JOIN pairs ON a_id = customer_id
+        UNION ALL
+        SELECT b.*, '{_SECOND}', NULL FROM b JOIN pairs ON b_id = customer_id WHERE a_id IS NULL OR ends)
+    SELECT customer_id, hashed_email, tier, cast(registration_date AS varchar) AS registration_date, total_orders, spent / 100.0 AS total_spent,
+           md5(customer_id || '|' || valid_from || ' 00:00:00') AS scd_id,
+           coalesce(valid_to, valid_from) || ' 00:00:00.000000' AS updated_at,
+           valid_from || ' 00:00:00.000000' AS valid_from, valid_to || ' 00:00:00.000000' AS valid_to, valid_to IS NULL AS is_current
+    FROM versions"""
+FINALS["upsert_by_key"] = f"""
+    SELECT {RUN_COLUMNS}, CASE WHEN start_time > (SELECT max(start_time) FROM r_runs)::date - INTERVAL 12 MONTH
+                               THEN records_failed * 2 <= records_processed END AS quality_passed
+    FROM r_runs"""
+FINALS["backfill_customer_stats"] = """
+    SELECT customer_id, tier, coalesce(n, 0) AS total_orders, coalesce(cents, 0) / 100.0 AS total_spent
+    FROM r_customers LEFT JOIN (
+        SELECT customer_id, count(*) AS n, cast(sum(amount_cents) AS bigint) AS cents FROM r_orders GROUP BY 1) USING (customer_id)"""
+FINALS["backfill_current_stock"] = """
+    SELECT product_id, coalesce(stock_level, current_stock) AS current_stock
+    FROM r_products LEFT JOIN (
+        SELECT product_id, stock_level, row_number() OVER (PARTITION BY product_id ORDER BY date DESC) AS rn FROM r_inventory) s
+    USING (product_id) WHERE coalesce(rn, 1) = 1"""
+
+# --- marts ----------------------------------------------------------------------------------------
+
+FINALS["mart_sales_summary"] = f"""
+    SELECT {day('period_date')} AS period_date, year(period_date) AS year, month(period_date) AS month,
+           week(period_date) AS week_of_year, category, subcategory, total_orders, cents / 100.0 AS total_gmv,
+           ((2 * cents + total_orders) // (2 * total_orders)) / 100.0 AS avg_order_value, unique_customers, total_items_sold,
+           returned_orders, {half_up('returned_orders', 'total_orders', 10000)} AS return_rate
+    FROM r_sales"""
+FINALS["mart_return_rates"] = f"""
+    SELECT year(period_date) AS year, month(period_date) AS month, {day('period_date')} AS period_date, product_id, product_name,
+           category, total_orders, returned_orders, rate / 10000.0 AS return_rate, prev / 10000.0 AS prev_month_return_rate,
+           (rate - prev) / 10000.0 AS return_rate_change
+    FROM r_return_mart"""
+FINALS["mart_customer_cohorts"] = f"""
+    SELECT {day('cohort_week')} AS cohort_week, weeks_since_acquisition, customers_in_cohort, active_customers, retention_rate
+    FROM r_cohorts"""
+FINALS["mart_event_cohorts"] = f"""
+    , m AS (SELECT customer_id, date_trunc('week', max(event_timestamp))::date AS cohort_week
+            FROM r_bronze WHERE event_type = 'customer_registered' GROUP BY 1),
+    w AS (SELECT DISTINCT customer_id, date_trunc('week', event_timestamp)::date AS order_week
+          FROM r_events WHERE event_type = 'order_placed'),
+    act AS (SELECT cohort_week, (order_week - cohort_week) // 7 AS weeks, count(*) AS active
+            FROM w JOIN m USING (customer_id) WHERE order_week >= cohort_week GROUP BY 1, 2),
+    sz AS (SELECT cohort_week, count(*) AS size FROM m GROUP BY 1)
+    SELECT {day('cohort_week')} AS cohort_week, weeks AS weeks_since_acquisition, size AS customers_in_cohort,
+           active AS active_customers, {half_up('active', 'size', 10000)} AS retention_rate
+    FROM act JOIN sz USING (cohort_week)"""
+ALERT_COLUMNS = f"""product_id, product_name, category, subcategory, supplier_id, current_stock_level, reorder_threshold,
+    days_of_stock_remaining, alert_level, {day('snapshot_date')} AS snapshot_date"""
+FINALS["mart_inventory_alerts"] = f"SELECT {ALERT_COLUMNS} FROM r_alerts"
+
+# --- serving --------------------------------------------------------------------------------------
+
+FINALS["daily_sales_trend"] = f"""
+    SELECT {day('period_date')} AS period_date, sum(cents)::bigint / 100.0 AS total_gmv, sum(total_orders)::bigint AS total_orders,
+           (sum(cents)::bigint / 100.0) / sum(total_orders)::bigint AS avg_order_value
+    FROM r_sales WHERE period_date >= (SELECT max(period_date) FROM r_sales) - 30 GROUP BY r_sales.period_date"""
+FINALS["sales_by_category"] = """
+    SELECT coalesce(category, 'Unknown') AS category, sum(cents)::bigint / 100.0 AS total_gmv, sum(total_orders)::bigint AS total_orders,
+           sum(returned_orders)::double / sum(total_orders)::double AS return_rate
+    FROM r_sales WHERE period_date >= (SELECT max(period_date) FROM r_sales) - 90
+    GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
+FINALS["home_kpis"] = """
+    SELECT sum(cents)::bigint / 100.0 AS today_gmv, sum(total_orders)::bigint AS today_orders,
+           (sum(cents)::bigint / 100.0) / sum(total_orders)::bigint AS today_aov,
+           (SELECT count(*) FROM r_alerts WHERE alert_level IN ('red', 'yellow')
+            AND snapshot_date = (SELECT max(snapshot_date) FROM r_alerts)) AS active_sku_alerts
+    FROM r_sales WHERE period_date = (SELECT max(period_date) FROM r_sales)"""
+FINALS["cohort_table"] = f"""
+    SELECT {day('cohort_week')} AS cohort_week, weeks_since_acquisition, customers_in_cohort, active_customers, retention_rate
+    FROM r_cohorts WHERE weeks_since_acquisition <= 12
+    ORDER BY r_cohorts.cohort_week DESC, weeks_since_acquisition LIMIT 500"""
+_WEEKS = ", ".join(f"max(retention_rate) FILTER (weeks_since_acquisition = {w}) AS week_{w}" for w in range(13))
+FINALS["cohort_heatmap"] = f"""
+    SELECT {day('cohort_week')} AS cohort_week, {_WEEKS}
+    FROM r_cohorts WHERE weeks_since_acquisition <= 12 GROUP BY r_cohorts.cohort_week
+    ORDER BY r_cohorts.cohort_week DESC LIMIT 12"""
+FINALS["cohort_bands"] = """
+    SELECT CASE WHEN retention_rate >= 0.4 THEN 'strong' WHEN retention_rate >= 0.2 THEN 'fair'
+                WHEN retention_rate >= 0.1 THEN 'weak' ELSE 'poor' END AS band, count(*) AS cells
+    FROM r_cohorts WHERE weeks_since_acquisition <= 12 GROUP BY 1"""
+FINALS["customer_tier_summary"] = """
+    SELECT count(*) AS total_customers, (sum(spent_cents)::bigint / 100.0) / count(*) AS avg_total_spent,
+           count(*) FILTER (tier = 'bronze') AS bronze_count, count(*) FILTER (tier = 'silver') AS silver_count,
+           count(*) FILTER (tier = 'gold') AS gold_count
+    FROM r_customer_dim"""
+FINALS["inventory_alerts_filtered"] = f"""
+    SELECT {ALERT_COLUMNS} FROM r_alerts
+    WHERE alert_level = 'red' AND category = 'PROMO' AND product_name ILIKE '%RING%'"""
+FINALS["inventory_alerts_sorted"] = f"SELECT {ALERT_COLUMNS} FROM r_alerts WHERE product_name ILIKE '%bolt%'"
+FINALS["inventory_stats"] = """
+    SELECT count(*) AS total_skus, count(*) FILTER (alert_level = 'red') AS red_alerts,
+           count(*) FILTER (alert_level = 'yellow') AS yellow_alerts, count(*) FILTER (alert_level = 'green') AS green_skus
+    FROM r_alerts"""
+FINALS["return_trends"] = f"""
+    SELECT {day('period_date')} AS period_date, year(r_returns.period_date) AS year, month(r_returns.period_date) AS month,
+           sum(total_orders)::bigint AS total_orders, sum(returned_orders)::bigint AS returned_orders,
+           sum(returned_orders)::double / sum(total_orders)::double AS return_rate
+    FROM r_returns WHERE period_date >= (SELECT max(period_date) FROM r_returns) - INTERVAL 6 MONTH
+    GROUP BY r_returns.period_date"""
+FINALS["returns_by_category"] = """
+    SELECT coalesce(category, 'Unknown') AS category, sum(total_orders)::bigint AS total_orders,
+           sum(returned_orders)::bigint AS returned_orders, sum(returned_orders)::double / sum(total_orders)::double AS return_rate
+    FROM r_returns WHERE period_date >= (SELECT max(period_date) FROM r_returns) - 90 GROUP BY 1"""
+FINALS["top_returned_products"] = """
+    SELECT product_id, product_name, category, rate / 10000.0 AS return_rate, returned_orders, (rate - prev) / 10000.0 AS return_rate_change
+    FROM r_return_mart WHERE period_date = (SELECT max(period_date) FROM r_returns)
+    ORDER BY rate DESC, product_id LIMIT 10"""
+FINALS["latest_return_kpi"] = f"""
+    SELECT {day('period_date')} AS period_date, sum(returned_orders)::bigint AS returned_orders,
+           sum(returned_orders)::double / sum(total_orders)::double AS return_rate
+    FROM r_returns WHERE period_date = (SELECT max(period_date) FROM r_returns) GROUP BY r_returns.period_date"""
+FINALS["paged"] = "SELECT product_id, product_name FROM r_products ORDER BY product_id LIMIT 1000 OFFSET 1000"
+
+# --- data quality ---------------------------------------------------------------------------------
+
+# Which expression of the building blocks stands for a Silver column in a rule.
+_SOURCE = {"events": "r_events", "customers": "r_customers", "orders": "r_orders", "inventory": "r_inventory", "products": "r_products"}
+_COLUMN = {
+    ("orders", "order_amount"): "amount_cents / 100.0",
+    ("customers", "total_spent"): "0",
+    ("events", "hashed_email"): hashed("user_id"),
+    ("events", "ingestion_date"): RUN_DATE,
+}
+
+
+def _rule_sql(table: str, no: int, rule) -> str:
+    c = _COLUMN.get((table, rule.column), rule.column)
+    bad = {
+        "column_to_exist": "0",
+        "values_to_not_be_null": f"count(*) FILTER ({c} IS NULL)",
+        "values_to_be_in_set": f"count(*) FILTER ({c} NOT IN ({', '.join(repr(v) for v in rule.allowed)}))",
+        "values_to_be_between": f"count(*) FILTER ({c} NOT BETWEEN {rule.low} AND {rule.high})",
+        "values_to_match_regex": f"count(*) FILTER (NOT regexp_matches({c}, '{rule.pattern}'))",
+        "values_to_be_unique": f"count(*) FILTER ({c} IN (SELECT {c} FROM {_SOURCE[table]} GROUP BY 1 HAVING count(*) > 1))",
+        "table_row_count_to_be_between": "0",
+    }[rule.kind]
+    ok = f"count(*) BETWEEN {rule.low} AND {rule.high}" if rule.kind == "table_row_count_to_be_between" else f"{bad} = 0"
+    suite = SUITES[table]
+    return (
+        f"SELECT '{suite.name}' AS suite_name, '{suite.checkpoint}' AS checkpoint_name, {no} AS rule_no, '{rule.kind}' AS expectation, "
+        f"'{rule.column or ''}' AS column_name, '{rule.parameters}' AS parameters, count(*) AS table_rows, "
+        f"{bad} AS unexpected_count, {ok} AS success FROM {_SOURCE[table]}"
+    )
+
+
+def suite_sql(table: str) -> str:
+    return " UNION ALL ".join(_rule_sql(table, no, rule) for no, rule in enumerate(SUITES[table].rules, start=1))
+
+
+for _table in SUITES:
+    FINALS[f"expect_{_table}"] = suite_sql(_table)
+_FRESH_AGE = f"epoch_us(TIMESTAMP '2024-01-30 23:59:59') - epoch_us(max(event_timestamp))"
+FINALS["checkpoint_summary"] = f"""
+    SELECT checkpoint_name, suite_name, count(*) AS evaluated_expectations, count(*) FILTER (success) AS successful_expectations,
+           count(*) FILTER (NOT success) AS unsuccessful_expectations, bool_and(success) AS success
+    FROM ({' UNION ALL '.join(suite_sql(t) for t in ('events', 'customers', 'orders', 'inventory'))}) GROUP BY 1, 2
+    UNION ALL
+    SELECT 'checkpoint_silver_freshness', 'silver_freshness', 1, cast({_FRESH_AGE} <= 7200000000 AS bigint),
+           1 - cast({_FRESH_AGE} <= 7200000000 AS bigint), {_FRESH_AGE} <= 7200000000 FROM r_events"""
+FINALS["freshness_check"] = f"""
+    SELECT 'checkpoint_silver_freshness' AS checkpoint_name, 'silver_freshness' AS suite_name,
+           {_FRESH_AGE} <= 7200000000 AS success, {stamp('max(event_timestamp)')} AS most_recent,
+           ({_FRESH_AGE}) // 1000000 AS age_seconds,
+           CASE WHEN {_FRESH_AGE} <= 7200000000 THEN 'fresh' ELSE 'older than 2 h' END AS reason
+    FROM r_events"""
+FINALS["source_freshness"] = f"""
+    SELECT table_name, {stamp('newest')} AS max_loaded_at, age AS age_seconds,
+           CASE WHEN age > 21600 THEN 'error' WHEN age > 10800 THEN 'warn' ELSE 'pass' END AS state
+    FROM (SELECT *, epoch_us(TIMESTAMP '2024-01-30 23:59:59') // 1000000 - epoch_us(newest) // 1000000 AS age FROM (
+        SELECT 'events' AS table_name, max(event_timestamp) AS newest FROM r_events
+        UNION ALL SELECT 'orders', max(order_date)::timestamp FROM r_orders))"""
+FINALS["test_not_null"] = "SELECT customer_id, hashed_email FROM r_customers WHERE tier IS NULL"
+FINALS["test_unique"] = """
+    SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber, count(*) AS n_records FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"""
+FINALS["test_accepted_values"] = """
+    SELECT 'unrated' AS value_field, count(*) AS n_records FROM customer WHERE c_acctbal < 0 HAVING count(*) > 0"""
+FINALS["test_relationships"] = """
+    SELECT o_orderkey, o_orderstatus FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)"""
+
+
+def _table_tests() -> str:
+    from tillhouse.plans import table_tests as t
+
+    source = {
+        "stg_events": "r_events", "stg_customers": "r_customers", "stg_products": "r_products", "stg_orders": "r_orders",
+        "stg_inventory": "(SELECT *, date AS inventory_date FROM r_inventory)",
+        "dim_date": "(SELECT *, isodow(full_date) AS day_of_week, quarter(full_date) AS quarter FROM r_dates)",
+        "mart_inventory_alerts": "r_alerts",
+    }
+    parts = []
+    for table, rows in source.items():
+        def add(test: str, column: str, failures: str, rows: str = rows, table: str = table) -> None:
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{test}' AS test_name, '{column}' AS column_name, ({failures}) AS failures"
+            )
+
+        for c in t.REQUIRED.get(table, ()):
+            expr = "amount_cents" if c == "order_amount" else c
+            add("not_null", c, f"SELECT count(*) FROM {rows} WHERE {expr} IS NULL")
+        for c, allowed in t.ACCEPTED.get(table, {}).items():
+            add("accepted_values", c, f"SELECT count(*) FROM {rows} WHERE {c} NOT IN ({', '.join(repr(v) for v in allowed)})")
+        for c in t.UNIQUE.get(table, ()):
+            add("unique", c, f"SELECT count(*) FROM (SELECT {c} FROM {rows} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+    return " UNION ALL ".join(parts)
+
+
+FINALS["table_tests"] = _table_tests()
+
+
+def _constraints() -> str:
+    from tillhouse.operators.rules import CHECKS, KEYS, REQUIRED_COLUMNS
+
+    source = {
+        "events": "r_events",
+        "customers": "r_customers",
+        "products": "(SELECT *, product_id AS sku FROM r_products)",
+        "orders": "(SELECT *, order_id AS order_line_id, amount_cents / 100.0 AS order_amount, status AS order_status FROM r_orders)",
+        "inventory": "(SELECT *, date AS snapshot_date, stock_level AS quantity_on_hand, 'UNKNOWN' AS warehouse_region FROM r_inventory)",
+    }
+    parts = []
+    for table, rows in source.items():
+        for c in REQUIRED_COLUMNS[table]:
+            parts.append((table, f"not_null:{c}", f"SELECT count(*) FROM {rows} WHERE {c} IS NULL"))
+        for name, test in CHECKS.get(table, {}).items():
+            parts.append((table, f"check:{name}", f"SELECT count(*) FROM {rows} WHERE NOT ({test})"))
+        for key in KEYS[table]:
+            cols = ", ".join(key)
+            repeated = f"SELECT count(*) FROM (SELECT {cols} FROM {rows} GROUP BY {cols} HAVING count(*) > 1)"
+            parts.append((table, f"unique:{','.join(key)}", repeated))
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{n}' AS constraint_name, ({sql}) AS violations" for t, n, sql in parts
+    )
+
+
+FINALS["staging_constraints"] = _constraints()
+FINALS["assert_gmv_positive"] = """
+    SELECT order_id, amount_cents / 100.0 AS order_amount FROM r_orders WHERE amount_cents <= 0 AND status <> 'returned'"""
+FINALS["assert_reorder_matches"] = """
+    SELECT product_id FROM r_inventory i JOIN r_products p USING (product_id) WHERE i.reorder_threshold <> p.reorder_threshold"""
+FINALS["assert_no_future_orders"] = f"""
+    SELECT order_id, {day('order_date')} AS order_date FROM r_orders WHERE r_orders.order_date > DATE '2001-07-01'"""
+FINALS["assert_amount_matches"] = """
+    SELECT order_id, amount_cents / 100.0 AS order_amount, quantity, price_cents / 100.0 AS unit_price
+    FROM r_orders WHERE abs(amount_cents - quantity * price_cents) > 1"""
+
+# --- operations -----------------------------------------------------------------------------------
+
+FINALS["run_view"] = f"""
+    SELECT run_id, {stamp('start_time')} AS start_time, {stamp('end_time + INTERVAL 30 SECOND')} AS end_time,
+           2 * records_processed - records_failed AS records_processed, records_failed, records_failed = 0 AS quality_passed,
+           pii_events_masked, status
+    FROM r_runs"""
+FINALS["recent_runs"] = f"SELECT {RUN_COLUMNS} FROM r_runs ORDER BY r_runs.start_time DESC, run_id LIMIT 50"
+FINALS["last_success"] = f"""
+    SELECT {RUN_COLUMNS} FROM r_runs WHERE status = 'success' ORDER BY r_runs.end_time DESC, run_id LIMIT 1"""
+FINALS["today_totals"] = """
+    SELECT sum(records_processed)::bigint AS records_processed_today, sum(pii_events_masked)::bigint AS pii_events_masked_today
+    FROM r_runs WHERE order_date = (SELECT max(order_date) FROM r_runs)"""
+FINALS["run_stats"] = """
+    SELECT count(*) FILTER (status = 'success') AS success_runs, count(*) FILTER (status = 'failed') AS failed_runs,
+           avg(60 + records_processed) AS avg_duration_seconds
+    FROM (SELECT * FROM r_runs ORDER BY start_time DESC, run_id LIMIT 100)"""
+FINALS["runs_by_day_status"] = f"SELECT {day('order_date')} AS run_date, status, count(*) AS runs FROM r_runs GROUP BY order_date, status"
+VALIDATION_COLUMNS = f"""run_id, checkpoint_name, suite_name, success, evaluated_expectations, successful_expectations,
+    failed_expectations, {stamp('run_ts')} AS run_time"""
+FINALS["validation_results"] = f"SELECT {VALIDATION_COLUMNS} FROM r_validation ORDER BY run_ts DESC, run_id, checkpoint_name LIMIT 20"
+FINALS["failed_validations"] = f"""
+    SELECT {VALIDATION_COLUMNS} FROM r_validation WHERE NOT success ORDER BY run_ts DESC, run_id, checkpoint_name LIMIT 50"""
+FINALS["checkpoint_status"] = f"""
+    SELECT checkpoint_name, count(*) FILTER (success) AS passed, count(*) AS total,
+           {stamp('max(run_ts) FILTER (success)')} AS last_success
+    FROM r_validation GROUP BY 1"""
+FINALS["pass_rate_trend"] = f"""
+    SELECT {stamp('run_ts')} AS run_time, checkpoint_name, successful_expectations / evaluated_expectations AS pass_rate FROM r_validation"""
+FINALS["panel_totals"] = """
+    , c AS (SELECT checkpoint_name AS label, count(*) FILTER (success) AS a, sum(successful_expectations) AS b, sum(failed_expectations) AS d
+            FROM r_validation GROUP BY 1),
+    s AS (SELECT stage AS label, sum(records_processed) AS a, sum(records_failed) AS b, max(60 + records_processed) AS d FROM r_runs GROUP BY 1)
+    SELECT 'checkpoints_passing' AS panel, label, a::double AS value FROM c
+    UNION ALL SELECT 'expectations_passed', label, b::double FROM c
+    UNION ALL SELECT 'expectations_failed', label, d::double FROM c
+    UNION ALL SELECT 'rows_processed', label, a::double FROM s
+    UNION ALL SELECT 'rows_failed', label, b::double FROM s
+    UNION ALL SELECT 'max_duration_seconds', label, d::double FROM s"""
+FINALS["pii_summary"] = f"""
+    SELECT field_name, count(*) AS events, {stamp('max(masked_at)')} AS last_seen, avg(original_length) AS avg_original_length
+    FROM r_audit GROUP BY 1"""
+FINALS["pii_totals"] = "SELECT count(DISTINCT field_name) AS fields_masked, count(*) AS events_masked FROM r_audit"
+FINALS["pii_hourly_volume"] = f"""
+    SELECT {stamp("date_trunc('hour', masked_at)")} AS hour, count(*) AS events FROM r_audit
+    WHERE masked_at > TIMESTAMP '2024-01-23 12:00:00' GROUP BY 1"""
+FINALS["recent_pii_events"] = f"""
+    SELECT record_id, event_id, field_name, masking_action, original_length, '{RUN_ID}' AS pipeline_run_id, {stamp('r_audit.masked_at')} AS masked_at
+    FROM r_audit ORDER BY r_audit.masked_at DESC, record_id, field_name LIMIT 200"""
+FINALS["event_rate_5m"] = f"""
+    SELECT {RATE}, events / 300.0 AS per_second
+    FROM (SELECT pane AS window_start, pane + INTERVAL 5 MINUTE AS window_end, event_type, events FROM r_panes)"""
+FINALS["event_rate_1h"] = f"""
+    SELECT {RATE}, events / 3600.0 AS per_second
+    FROM (SELECT *, window_start + INTERVAL 1 HOUR AS window_end FROM r_sliding)"""
+FINALS["stream_event_rate_1h"] = f"""
+    SELECT {RATE}, events / 3600.0 AS per_second
+    FROM (SELECT *, window_start + INTERVAL 1 HOUR AS window_end FROM r_sliding)
+    WHERE window_end <= (SELECT max(event_timestamp) - INTERVAL 1 HOUR FROM r_bronze)"""
+FINALS["pii_rate_1h"] = f"""
+    , panes AS (SELECT time_bucket(INTERVAL 5 MINUTE, masked_at) AS pane, count(*) AS events FROM r_audit GROUP BY 1)
+    SELECT {stamp('pane - to_minutes(5 * k)')} AS window_start, {stamp('pane - to_minutes(5 * k) + INTERVAL 1 HOUR')} AS window_end,
+           sum(events)::bigint AS events, sum(events)::bigint / 3600.0 AS per_second
+    FROM panes, generate_series(0, 11) AS t(k) GROUP BY 1, 2"""
+FINALS["throughput_in_out"] = f"""
+    , a AS (SELECT date_trunc('hour', event_timestamp) AS h, count(*) AS n FROM r_bronze GROUP BY 1),
+    b AS (SELECT date_trunc('hour', event_timestamp) AS h, count(*) AS n FROM r_events GROUP BY 1)
+    SELECT {stamp('h')} AS window_start, coalesce(a.n, 0) AS events_in, coalesce(b.n, 0) AS records_out,
+           coalesce(a.n, 0) / 3600.0 AS in_per_second, coalesce(b.n, 0) / 3600.0 AS out_per_second
+    FROM a FULL JOIN b USING (h)"""
+
+
+def _assemble(final: str) -> str:
+    """Statements that bring blocks of their own start with a comma."""
+    sql = build(final.strip())
+    return re.sub(r"\)\s+,\s", "), ", sql, count=1) if final.strip().startswith(",") else sql
+
+
+ORACLES = {name: _assemble(final) for name, final in FINALS.items()}

@@ -9,24 +9,25 @@ from pyspark.sql import types as T
 from tillhouse.schemas import EVENT, EVENT_TYPES
 
 REQUIRED = ("event_id", "event_type", "event_timestamp")
-_CORRUPT = "_corrupt"
-_INTEGER = r"^-?(0|[1-9][0-9]*)(\.0+)?$"
-
-
-def _kind_errors(event: Column) -> list[Column]:
-    """A reason per field whose JSON type differs from the contract."""
-    tests = []
-    for f in EVENT.fields:
-        value = event[f.name]
-        kind = F.schema_of_variant(value)
-        if isinstance(f.dataType, T.StringType):
-            good = kind == "STRING"
-        elif isinstance(f.dataType, T.IntegerType):
-            good = (kind == "BIGINT") | (kind.rlike("^(DOUBLE|DECIMAL)") & value.cast("string").rlike(_INTEGER))
-        else:
-            good = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-        tests.append(F.when(value.isNotNull() & (kind != "VOID") & ~good, F.lit(f"type:{f.name}")))
-    return tests
+
+
+def _fields(kind: type) -> list[str]:
+    return [f.name for f in EVENT.fields if isinstance(f.dataType, kind)]
+
+
+# JSON numbers without a fraction are integers however they are written (2, 2.0, 2e0), so integers are
+# read as doubles and narrowed after the check.
+_WIRE = T.StructType(
+    [T.StructField(f.name, T.DoubleType() if isinstance(f.dataType, T.IntegerType) else f.dataType) for f in EVENT.fields]
+)
+
+
+def _wrong_kind(entry: Column) -> Column:
+    """Whether a (field, JSON type) pair of the message breaks the contract."""
+    name, kind = entry["key"], entry["value"]
+    text = name.isin(*_fields(T.StringType)) & (kind != "STRING")
+    number = name.isin(*_fields(T.IntegerType), *_fields(T.DoubleType)) & ~kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    return (kind != "VOID") & (text | number)
 
 
 def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -36,25 +37,24 @@ def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
     wrong JSON type, or names an unknown event type. Nothing is dropped here.
     """
     text = F.col(value).cast("string")
-    loose = T.StructType([T.StructField(f.name, T.VariantType()) for f in EVENT.fields])
-    loose = loose.add(_CORRUPT, "string")
-    event = F.from_json(text, loose, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    decoded = raw.withColumn("_event", event)
-    e = F.col("_event")
-    missing = [F.when(e[c].isNull() | (F.schema_of_variant(e[c]) == "VOID"), F.lit(f"missing:{c}")) for c in REQUIRED]
-    unknown = F.when(~F.try_variant_get(e["event_type"], "$", "string").isin(*EVENT_TYPES), F.lit("unknown:event_type"))
+    parts = F.from_json(text, T.MapType(T.StringType(), T.VariantType()))
+    decoded = raw.select(
+        text.alias("raw_value"),
+        F.from_json(text, _WIRE).alias("e"),
+        F.transform_values(parts, lambda _, v: F.coalesce(F.schema_of_variant(v), F.lit("VOID"))).alias("kinds"),
+    )
+    wrong = F.filter(F.map_entries("kinds"), _wrong_kind)
+    kind = lambda c: F.coalesce(F.try_element_at("kinds", F.lit(c)), F.lit("VOID"))
+    fraction = lambda c: F.col(f"e.{c}") != F.floor(f"e.{c}")
     reason = F.coalesce(
-        F.when(text.isNull() | e.isNull() | e[_CORRUPT].isNotNull(), F.lit("malformed")),
-        *missing,
-        *_kind_errors(e),
-        unknown,
+        F.when(F.col("kinds").isNull(), F.lit("malformed")),
+        *[F.when(kind(c) == "VOID", F.lit(f"missing:{c}")) for c in REQUIRED],
+        F.when(F.size(wrong) > 0, F.concat(F.lit("type:"), F.array_min(F.transform(wrong, lambda entry: entry["key"])))),
+        *[F.when(fraction(c), F.lit(f"type:{c}")) for c in _fields(T.IntegerType)],
+        F.when(~F.col("e.event_type").isin(*EVENT_TYPES), F.lit("unknown:event_type")),
     )
-    columns = []
-    for f in EVENT.fields:
-        path_type = f.dataType.simpleString()
-        got = F.try_variant_get(e[f.name], "$", path_type)
-        columns.append(got.alias(f.name))
-    return decoded.select(*columns, text.alias("raw_value"), reason.alias("reject_reason"))
+    columns = [F.col(f"e.{f.name}").try_cast(f.dataType).alias(f.name) for f in EVENT.fields]
+    return decoded.select(*columns, "raw_value", reason.alias("reject_reason"))
 
 
 def event_day(timestamp: Column, today: Column | None = None) -> Column:
