@@ -17,9 +17,13 @@ def _fields(kind: type) -> list[str]:
 
 # JSON numbers without a fraction are integers however they are written (2, 2.0, 2e0), so integers are
 # read as doubles and narrowed after the check.
+_CORRUPT = "_corrupt"
 _WIRE = T.StructType(
     [T.StructField(f.name, T.DoubleType() if isinstance(f.dataType, T.IntegerType) else f.dataType) for f in EVENT.fields]
-)
+).add(_CORRUPT, "string")
+# A text field whose value does not start like a string or null. Inside a JSON string the quotes are
+# escaped, so this cannot match there; a nested object can match, which the exact check then clears.
+_ODD_TEXT = r'"(' + "|".join(_fields(T.StringType)) + r')"\s*:\s*[^"n\s]'
 
 
 def _wrong_kind(entry: Column) -> Column:
@@ -30,31 +34,46 @@ def _wrong_kind(entry: Column) -> Column:
     return (kind != "VOID") & (text | number)
 
 
+def _json_kinds(text: Column) -> Column:
+    """Map of top-level field to JSON type; null when the text is not a JSON object."""
+    parts = F.from_json(text, T.MapType(T.StringType(), T.VariantType()))
+    return F.transform_values(parts, lambda _, v: F.coalesce(F.schema_of_variant(v), F.lit("VOID")))
+
+
 def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
     """Decode JSON messages: envelope columns, the message itself, and ``reject_reason``.
 
     A message is rejected when it is not a JSON object, misses a required field, holds a value of the
-    wrong JSON type, or names an unknown event type. Nothing is dropped here.
+    wrong JSON type, or names an unknown event type. Nothing is dropped here. Only messages that look odd
+    pay for the exact type check.
     """
     text = F.col(value).cast("string")
-    parts = F.from_json(text, T.MapType(T.StringType(), T.VariantType()))
-    decoded = raw.select(
-        text.alias("raw_value"),
-        F.from_json(text, _WIRE).alias("e"),
-        F.transform_values(parts, lambda _, v: F.coalesce(F.schema_of_variant(v), F.lit("VOID"))).alias("kinds"),
-    )
-    wrong = F.filter(F.map_entries("kinds"), _wrong_kind)
-    kind = lambda c: F.coalesce(F.try_element_at("kinds", F.lit(c)), F.lit("VOID"))
+    decoded = raw.select(text.alias("raw_value"), F.from_json(text, _WIRE, {"columnNameOfCorruptRecord": _CORRUPT}).alias("e"))
+    raw_text, corrupt = F.col("raw_value"), F.col("e").isNull() | F.col(f"e.{_CORRUPT}").isNotNull()
+    odd = raw_text.isNull() | corrupt | raw_text.rlike(_ODD_TEXT)
+    checked = decoded.select("raw_value", "e", corrupt.alias("corrupt"), F.when(odd, _type_error(raw_text)).alias("type_error"))
     fraction = lambda c: F.col(f"e.{c}") != F.floor(f"e.{c}")
     reason = F.coalesce(
-        F.when(F.col("kinds").isNull(), F.lit("malformed")),
-        *[F.when(kind(c) == "VOID", F.lit(f"missing:{c}")) for c in REQUIRED],
-        F.when(F.size(wrong) > 0, F.concat(F.lit("type:"), F.array_min(F.transform(wrong, lambda entry: entry["key"])))),
+        F.when(F.col("type_error") == "malformed", "malformed"),
+        *[F.when(F.col(f"e.{c}").isNull(), F.lit(f"missing:{c}")) for c in REQUIRED],
+        F.nullif("type_error", F.lit("")),
+        F.when(F.col("corrupt"), "malformed"),
         *[F.when(fraction(c), F.lit(f"type:{c}")) for c in _fields(T.IntegerType)],
         F.when(~F.col("e.event_type").isin(*EVENT_TYPES), F.lit("unknown:event_type")),
     )
     columns = [F.col(f"e.{f.name}").try_cast(f.dataType).alias(f.name) for f in EVENT.fields]
-    return decoded.select(*columns, "raw_value", reason.alias("reject_reason"))
+    row = F.struct(*columns, "raw_value", reason.alias("reject_reason"))
+    # inline keeps a later filter on the reason from being pushed below the parser, which would parse
+    # every message once per mention of a field in the filter
+    return checked.select(F.inline(F.array(row)))
+
+
+def _type_error(text: Column) -> Column:
+    """``malformed``, ``type:<field>`` for the first field of a wrong type, or an empty string."""
+    wrong = lambda kinds: F.transform(F.filter(F.map_entries(kinds), _wrong_kind), lambda entry: entry["key"])
+    named = lambda fields: F.when(F.size(fields) > 0, F.concat(F.lit("type:"), F.array_min(fields))).otherwise("")
+    verdict = F.transform(F.array(_json_kinds(text)), lambda kinds: F.when(kinds.isNull(), "malformed").otherwise(named(wrong(kinds))))
+    return F.element_at(verdict, 1)
 
 
 def event_day(timestamp: Column, today: Column | None = None) -> Column:
