@@ -80,15 +80,11 @@ def mask_dataframe(df: DataFrame, rules: dict[str, MaskRule] | None = None) -> D
     return df.select(*out)
 
 
-def pii_audit_rows(
-    df: DataFrame, run_id: str | Column, masked_at: Column | None = None, rules: dict[str, MaskRule] | None = None
-) -> DataFrame:
-    """One audit row per non-null PII value of the unmasked table, in a single pass over it."""
-    rules = rules or mask_rules()
-    record_id = F.col(record_id_column(df.columns)).cast("string")
-    event_id = F.col("event_id") if "event_id" in df.columns else F.lit(None).cast("string")
-    run = F.lit(run_id) if isinstance(run_id, str) else run_id
-    at = F.current_timestamp() if masked_at is None else masked_at
+_CELL = "struct<field_name:string,masking_action:string,original_length:int>"
+
+
+def audit_cells(columns: list[str], rules: dict[str, MaskRule]) -> Column:
+    """Array with one entry per non-null PII value of a row; holds lengths and actions, never values."""
     cells = [
         F.when(
             F.col(name).isNotNull(),
@@ -97,22 +93,40 @@ def pii_audit_rows(
                 rule.action(F.col(name)).alias("masking_action"),
                 F.length(name).alias("original_length"),
             ),
-        )
+        ).cast(_CELL)
         for name, rule in rules.items()
-        if name in df.columns
+        if name in columns
     ]
-    if not cells:
-        cells = [F.lit(None).cast("struct<field_name:string,masking_action:string,original_length:int>")]
-    base = df.select(
-        record_id.alias("record_id"),
+    return F.filter(F.array(*(cells or [F.lit(None).cast(_CELL)])), lambda cell: cell.isNotNull())
+
+
+def mask_with_audit(df: DataFrame, rules: dict[str, MaskRule] | None = None) -> DataFrame:
+    """The masked table with its audit cells in ``_pii``: one pass serves the table and the audit log."""
+    rules = rules or mask_rules()
+    tagged = df.withColumn("_pii", audit_cells(df.columns, rules))
+    return mask_dataframe(tagged, rules)
+
+
+def audit_rows_of(masked: DataFrame, run_id: str | Column, masked_at: Column | None = None) -> DataFrame:
+    """The audit log of a table from ``mask_with_audit``."""
+    event_id = F.col("event_id") if "event_id" in masked.columns else F.lit(None).cast("string")
+    base = masked.select(
+        F.col(record_id_column(masked.columns)).cast("string").alias("record_id"),
         event_id.alias("event_id"),
-        run.alias("pipeline_run_id"),
-        at.alias("masked_at"),
-        F.explode(F.filter(F.array(*cells), lambda cell: cell.isNotNull())).alias("cell"),
+        (F.lit(run_id) if isinstance(run_id, str) else run_id).alias("pipeline_run_id"),
+        (F.current_timestamp() if masked_at is None else masked_at).alias("masked_at"),
+        F.explode("_pii").alias("cell"),
     )
     return base.select("record_id", "event_id", "cell.*", "pipeline_run_id", "masked_at")
 
 
+def pii_audit_rows(
+    df: DataFrame, run_id: str | Column, masked_at: Column | None = None, rules: dict[str, MaskRule] | None = None
+) -> DataFrame:
+    """One audit row per non-null PII value of the unmasked table, in a single pass over it."""
+    return audit_rows_of(df.withColumn("_pii", audit_cells(df.columns, rules or mask_rules())), run_id, masked_at)
+
+
 def masked_count(audit: DataFrame) -> DataFrame:
     """(field_name, masked_values)."""
     return audit.groupBy("field_name").agg(F.count("*").alias("masked_values"))

@@ -16,12 +16,14 @@ from tillhouse.sources.readers import table_exists
 log = logging.getLogger(__name__)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a Parquet table; with partitions, only those that occur in ``df``."""
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), only_present: bool = False) -> None:
+    """Overwrite a Parquet table or one partition folder of it.
+
+    ``only_present`` replaces just the partitions that occur in ``df`` and leaves the others alone.
+    """
     writer = df.write.mode("overwrite").option("compression", "snappy")
-    if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
+    writer = writer.option("partitionOverwriteMode", "dynamic" if only_present else "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def load_staging(df: DataFrame, path: str) -> bool:
@@ -35,7 +37,7 @@ def load_staging(df: DataFrame, path: str) -> bool:
 
 def write_run_partition(df: DataFrame, path: str, run_column: str = "pipeline_run_id") -> None:
     """Write a run's rows of a log table; a rerun replaces its own rows."""
-    write_table(df, path, partition_by=[run_column])
+    write_table(df, path, partition_by=[run_column], only_present=True)
 
 
 write_pii_audit = write_run_partition
