@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 
 import pytest
@@ -136,9 +137,11 @@ def test_stream_rates_equal_batch_on_closed_windows(spark, tmp_path, sf):
 
 
 def test_late_rows_are_counted(spark, tmp_path):
-    write_messages(tmp_path / "in", "1.txt", message("a", minute=0))
-    write_messages(tmp_path / "in", "2.txt", json.dumps(json.loads(message("b")) | {"event_timestamp": "2024-01-16T10:00:00Z"}))
-    write_messages(tmp_path / "in", "3.txt", message("late", minute=1))
+    next_day = json.dumps(json.loads(message("b")) | {"event_timestamp": "2024-01-16T10:00:00Z"})
+    # a batch filters with the watermark its predecessor started from, so the row is late in the fourth
+    for n, text in enumerate((message("a"), next_day, next_day, message("late", minute=1))):
+        write_messages(tmp_path / "in", f"{n}.txt", text)
+        os.utime(tmp_path / "in" / f"{n}.txt", (1_700_000_000 + n, 1_700_000_000 + n))
     query = (
         rates.stream_event_rate_5m(parsed_stream(spark, tmp_path / "in")).writeStream.format("parquet").option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
