@@ -52,22 +52,14 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 class Retail:
-    """The layers over one folder of given tables, built lazily.
-
-    A layer that one query reads more than once is stored: written once to the shared folder and read
-    back, as the layers of a warehouse are.
-    """
+    """The layers over one folder of given tables, built lazily."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = configure(spark), sf_dir
-        self._stored: dict[str, DataFrame] = {}
 
-    def stored(self, layer: str, name: str = "") -> DataFrame:
-        key = f"{layer}-{name}".rstrip("-")
-        if key not in self._stored:
-            build = getattr(self, layer)
-            self._stored[key] = materialize(build(name) if name else build(), key)
-        return self._stored[key]
+    def stored(self, mart: str) -> DataFrame:
+        """A mart as the dashboard reads it: written once, then queried."""
+        return materialize(getattr(self, mart)(), mart)
 
     # Bronze ---------------------------------------------------------------------------------------
 
@@ -102,10 +94,10 @@ class Retail:
         return star.dim_date(self.spark, *given.CALENDAR)
 
     def event_dates(self) -> DataFrame:
-        return star.dim_date_of(self.stored("view", "events").select(F.col("event_timestamp").cast("date").alias("day")), "day")
+        return star.dim_date_of(self.view("events").select(F.col("event_timestamp").cast("date").alias("day")), "day")
 
     def velocity(self) -> DataFrame:
-        return star.inventory_velocity(self.stored("view", "orders"), self.dates())
+        return star.inventory_velocity(self.view("orders"), self.dates())
 
     def dim_customers(self) -> DataFrame:
         return star.dim_customers(self.view("customers"), self.view("orders"))
@@ -121,12 +113,8 @@ class Retail:
 
     # Marts ----------------------------------------------------------------------------------------
 
-    def orders(self) -> DataFrame:
-        """The order view, from the stored copy when this query has one."""
-        return self._stored["view-orders"] if "view-orders" in self._stored else self.view("orders")
-
     def sales(self) -> DataFrame:
-        return marts.mart_sales_summary(self.orders(), self.view("customers"), self.view("products"), self.dates())
+        return marts.mart_sales_summary(self.view("orders"), self.view("customers"), self.view("products"), self.dates())
 
     def returns(self) -> DataFrame:
         return marts.mart_return_rates(self.view("orders"), self.view("products"), self.dates())
@@ -163,7 +151,7 @@ class Retail:
 
     def validation_log(self) -> DataFrame:
         """The order and inventory suites evaluated per month."""
-        orders = self.stored("silver", "orders").withColumn("month", month_start("order_date"))
+        orders = self.silver("orders").withColumn("month", month_start("order_date"))
         stock = self.silver("inventory").withColumn("month", month_start("date"))
         results = run_suite(orders, checkpoints.SUITES["orders"], by=["month"]).unionByName(
             run_suite(stock, checkpoints.SUITES["inventory"], by=["month"])
@@ -178,9 +166,8 @@ class Retail:
     # Streams --------------------------------------------------------------------------------------
 
     def event_stream(self) -> DataFrame:
-        path = f"{self.sf_dir}/events.parquet"
-        schema = self.spark.read.parquet(path).schema
-        return given.envelopes(streams.table_stream(self.spark, path, schema))
+        schema = given.read(self.spark, self.sf_dir, "events").schema
+        return given.envelopes(streams.table_stream(self.spark, f"{self.sf_dir}/events.parquet", schema))
 
     def timed_stream(self) -> DataFrame:
         return self.event_stream().withColumn("event_timestamp", F.try_to_timestamp("event_timestamp"))
@@ -451,7 +438,7 @@ def fact_orders(r: Retail) -> DataFrame:
 
 @query
 def fact_events(r: Retail) -> DataFrame:
-    return star.fact_events(r.stored("view", "events"), r.customer_keys(), r.product_keys(), r.event_dates())
+    return star.fact_events(r.view("events"), r.customer_keys(), r.product_keys(), r.event_dates())
 
 
 @query
@@ -469,7 +456,7 @@ def scd2_customers(r: Retail) -> DataFrame:
     """History of the customers active in the year before each of two days."""
     versions = None
     for day in HISTORY_DATES:
-        orders = r.stored("view", "orders").where(F.col("order_date") < F.lit(day).cast("date"))
+        orders = r.view("orders").where(F.col("order_date") < F.lit(day).cast("date"))
         recent = orders.where(F.col("order_date") >= F.add_months(F.lit(day).cast("date"), -12)).select("customer_id").distinct()
         active = star.customer_rows(r.view("customers"), orders).join(recent, "customer_id", "left_semi")
         versions = history.empty_history(active) if versions is None else versions
@@ -480,7 +467,7 @@ def scd2_customers(r: Retail) -> DataFrame:
 @query
 def upsert_by_key(r: Retail) -> DataFrame:
     """The run log after the quality stage has set its verdict for the runs of the last year."""
-    log = r.stored("run_log")
+    log = r.run_log()
     last = log.select(F.max("start_time")).scalar()
     verdicts = log.where(F.col("start_time") > F.add_months(last, -12)).select(
         "run_id", (F.col("records_failed") * 2 <= F.col("records_processed")).alias("quality_passed"), F.lit("quality").alias("stage")
@@ -550,8 +537,7 @@ def sales_by_category(r: Retail) -> DataFrame:
 
 @query
 def home_kpis(r: Retail) -> DataFrame:
-    alerts = r.stored("alerts")  # stores the orders, which the sales mart then reads as well
-    return serving.home_kpis(r.stored("sales"), alerts)
+    return serving.home_kpis(r.stored("sales"), r.stored("alerts"))
 
 
 @query
@@ -622,7 +608,7 @@ def paged(r: Retail) -> DataFrame:
 
 def _suite(name: str) -> Callable[[Retail], DataFrame]:
     def run(r: Retail) -> DataFrame:
-        return run_suite(r.stored("silver", name), checkpoints.SUITES[name])
+        return run_suite(r.silver(name), checkpoints.SUITES[name])
 
     run.__name__ = f"expect_{name}"
     return query(run)
@@ -634,8 +620,8 @@ for _name in checkpoints.SUITES:
 
 @query
 def checkpoint_summary(r: Retail) -> DataFrame:
-    results = checkpoints.run_checkpoints({name: r.stored("silver", name) for name in checkpoints.GATED_TABLES})
-    return checkpoints.checkpoint_summary(results, checkpoints.freshness_check(r.stored("silver", "events"), F.lit(EVENT_CLOSE)))
+    results = checkpoints.run_checkpoints({name: r.silver(name) for name in checkpoints.GATED_TABLES})
+    return checkpoints.checkpoint_summary(results, checkpoints.freshness_check(r.silver("events"), F.lit(EVENT_CLOSE)))
 
 
 @query
@@ -678,15 +664,15 @@ def test_relationships(r: Retail) -> DataFrame:
 @query
 def table_tests(r: Retail) -> DataFrame:
     names = ("customers", "products", "orders", "inventory", "events")
-    tables = {f"stg_{n}": r.stored("view", n) for n in names}
+    tables = {f"stg_{n}": r.view(n) for n in names}
     tables["dim_date"] = r.dates()
-    tables["mart_inventory_alerts"] = r.stored("alerts")
+    tables["mart_inventory_alerts"] = r.alerts()
     return rules.run_table_tests(tables, **declared_tests.for_tables(tables))
 
 
 @query
 def staging_constraints(r: Retail) -> DataFrame:
-    return rules.staging_constraints({name: r.stored("staged", name) for name in staging.STAGE})
+    return rules.staging_constraints({name: r.staged(name) for name in staging.STAGE})
 
 
 @query
@@ -738,7 +724,7 @@ def last_success(r: Retail) -> DataFrame:
 
 @query
 def today_totals(r: Retail) -> DataFrame:
-    log = r.stored("run_log")
+    log = r.run_log()
     return ops.today_totals(log, as_of=log.select(F.max("start_time").cast("date")).scalar())
 
 
@@ -774,7 +760,7 @@ def pass_rate_trend(r: Retail) -> DataFrame:
 
 @query
 def panel_totals(r: Retail) -> DataFrame:
-    return ops.panel_totals(r.stored("validation_log"), r.run_log())
+    return ops.panel_totals(r.validation_log(), r.run_log())
 
 
 @query

@@ -27,12 +27,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """Session for tests and the local bench; a cluster brings its own session."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tillhouse")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for name, value in extra.items():

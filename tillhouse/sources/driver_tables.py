@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillhouse.functions.exprs import money, month_start
 from tillhouse.operators.dedup import keep_first
@@ -31,8 +32,15 @@ CARD_TYPES = ("Visa", "Mastercard", "Amex")
 CALENDAR = ("1995-01-01", "2001-12-31")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from the file footer once per process, not at every use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = configure(spark).read.parquet(path).schema
+    return configure(spark).read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _id(prefix: str, c: str) -> Column:
