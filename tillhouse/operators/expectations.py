@@ -101,8 +101,10 @@ def run_suite(df: DataFrame, suite: Suite, by: Sequence[str] = ()) -> DataFrame:
         else:
             aggregates.append(F.count_if(violation(rule)).alias(f"_r{no}"))
             pooled.append(_result(no, rule, F.col(f"_r{no}"), F.col(f"_r{no}") == 0))
-    totals = df.groupBy(*by).agg(*aggregates)
-    parts = [totals.select(*by, "table_rows", F.inline(F.array(*pooled)))]
+    parts = []
+    if pooled:
+        totals = df.groupBy(*by).agg(*aggregates)
+        parts.append(totals.select(*by, "table_rows", F.inline(F.array(*pooled))))
     for no, rule in keyed:
         copies = df.groupBy(*by, F.col(rule.column).alias("_value")).agg(F.count("*").alias("_n"))
         repeated = F.when(F.col("_value").isNotNull() & (F.col("_n") > 1), F.col("_n"))
