@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.exprs import date_key
 from tillhouse.operators.keys import dense_key
+from tillhouse.session import materialize
 
 
 def progressed(status: str = "status") -> Column:
@@ -136,19 +137,27 @@ def fact_events(events: DataFrame, customers: DataFrame, products: DataFrame, da
     return dense_key(rows, ["event_timestamp", "event_id"], "event_key")
 
 
-def order_window(orders: DataFrame, dates: DataFrame) -> DataFrame:
-    """One row: length in days of the span covered by all dated orders."""
-    days = orders.join(F.broadcast(dates.select("full_date")), F.col("order_date") == F.col("full_date"), "left_semi")
-    return days.agg((F.datediff(F.max("order_date"), F.min("order_date")) + 1).alias("total_days"))
-
-
 def inventory_velocity(orders: DataFrame, dates: DataFrame) -> DataFrame:
-    """Units sold per product and day over the whole order span; orders still placed sell nothing."""
-    sold = orders.where(progressed()).groupBy("product_id").agg(F.sum("quantity").alias("units_sold"))
-    days = order_window(orders, dates).scalar()
-    return sold.withColumn("total_days", F.nullif(days, F.lit(0))).withColumn(
-        "avg_daily_units_sold", F.col("units_sold") / F.col("total_days")
+    """Units sold per product and day over the span of all dated orders; orders still placed sell nothing.
+
+    The orders are read once: they are reduced to one stored row per product, and both the units and the
+    span come from there.
+    """
+    calendar = F.broadcast(dates.select("full_date"))
+    per_product = (
+        orders.join(calendar, F.col("order_date") == F.col("full_date"), "left")
+        .groupBy("product_id")
+        .agg(
+            F.count_if(progressed()).alias("sales"),
+            F.sum(F.when(progressed(), F.col("quantity"))).alias("units_sold"),
+            F.min("full_date").alias("first_day"),
+            F.max("full_date").alias("last_day"),
+        )
     )
+    stored = materialize(per_product, "velocity")
+    days = stored.select(F.datediff(F.max("last_day"), F.min("first_day")) + 1).scalar()
+    sold = stored.where("sales > 0").select("product_id", "units_sold", days.alias("total_days"))
+    return sold.withColumn("avg_daily_units_sold", F.col("units_sold") / F.col("total_days"))
 
 
 def stock_status(inventory: DataFrame, velocity: DataFrame) -> DataFrame:
