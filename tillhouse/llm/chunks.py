@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from tillhouse.llm.ship import ship_package
 from tillhouse.session import materialize
 
-CHUNK_BYTES = 4 << 20
-BUCKET_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
+BUCKET_BYTES = 4 << 20
 MESSAGE = "dest long, src long, kind int, payload binary"
 _MESSAGE = pa.schema([("dest", pa.int64()), ("src", pa.int64()), ("kind", pa.int32()), ("payload", pa.binary())])
 

@@ -22,18 +22,19 @@ def byte_values() -> np.ndarray:
     return np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        up = np.full(n, _BASE, np.uint64)
-        down = np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
-        up[:1] = down[:1] = 1
-        return np.cumprod(up), np.cumprod(down)
+_known_powers: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n`` of each."""
-    return _powers(1 << max(17, int(n).bit_length()))
+    """Powers of the base and of its inverse, at least ``n`` of each; the longest ones asked for are kept."""
+    if not _known_powers or len(_known_powers[0]) < n:
+        size = -(-max(n, 1) // (1 << 18)) << 18
+        with np.errstate(over="ignore"):
+            up = np.full(size, _BASE, np.uint64)
+            down = np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
+            up[:1] = down[:1] = 1
+            _known_powers[:] = [np.cumprod(up), np.cumprod(down)]
+    return _known_powers[0], _known_powers[1]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
