@@ -355,8 +355,9 @@ FINALS["pii_entities"] = f"SELECT {ACTION} AS masking_action, count(*) AS addres
 _SCAN = ", ".join(f"cast(len(regexp_extract_all(text, '{p}')) AS bigint) AS {kind}_count" for kind, p in TEXT_PATTERNS.items())
 FINALS["pii_scan_documents"] = f"SELECT doc_id, {_SCAN} FROM documents"
 _REDACTED = "text"
+BACK = "\\1"
 for _kind, _pattern in TEXT_PATTERNS.items():
-    _REDACTED = f"regexp_replace({_REDACTED}, '{_pattern}', '{TEXT_MASKS[_kind]}', 'g')"
+    _REDACTED = f"regexp_replace({_REDACTED}, '{_pattern}', '{BACK if _kind == 'email' else ''}{TEXT_MASKS[_kind]}', 'g')"
 FINALS["pii_redact_documents"] = f"SELECT doc_id, {_REDACTED} AS text FROM documents"
 
 # --- staging --------------------------------------------------------------------------------------

@@ -72,7 +72,7 @@ def _person(c: str, name: Column) -> list[Column]:
     return [
         name.alias("customer_name"),
         F.concat(F.lit(" User."), F.col(c).cast("string"), F.lit("@Example.com ")).alias("customer_email"),
-        F.concat(F.lit("+1202"), F.lpad(F.col(c).cast("string"), 7, "0")).alias("customer_phone"),
+        F.concat(F.lit("+1202"), F.lpad(F.col(c).cast("string"), F.greatest(F.lit(7), F.length(F.col(c).cast("string"))), F.lit("0"))).alias("customer_phone"),
     ]
 
 
