@@ -13,12 +13,13 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillhouse.operators import conform, history, privacy, rules
 from tillhouse.plans import checkpoints, marts, staging, star, table_tests
 from tillhouse.schemas import RUN_LOG
 from tillhouse.session import configure
-from tillhouse.sources.readers import read_bronze_csv, read_bronze_events, read_silver
+from tillhouse.sources.readers import read_bronze_csv, read_bronze_events, read_or_empty, read_silver
 from tillhouse.sources.writers import (
     load_staging,
     read_version,
@@ -164,16 +165,19 @@ def silver_table(run: Run, table: str) -> DataFrame:
 
 
 def run_quality(run: Run, now: Column | None = None) -> DataFrame:
-    """Evaluate the checkpoints, store their results, and raise ``GateFailed`` if one failed."""
+    """Evaluate the checkpoints, store their results, and raise ``GateFailed`` if one failed.
+
+    A Silver table that is not there counts as empty: its checkpoint evaluates nothing and fails.
+    """
     started = datetime.now(timezone.utc)
-    silver = {t: silver_table(run, t) for t in checkpoints.GATED_TABLES}
-    results = checkpoints.run_checkpoints(silver)
-    fresh = checkpoints.freshness_check(silver["events"], checkpoints.pinned_now(run.run_date) if now is None else now)
-    write_validation(checkpoints.validation_rows(results, run.run_id, fresh), run.path("audit", "validation"))
-    stored = run.read("audit", "validation").where(F.col("pipeline_run_id") == run.run_id)
     try:
+        silver = {t: read_or_empty(run.spark, StructType(), lambda t=t: silver_table(run, t)) for t in checkpoints.GATED_TABLES}
+        results = checkpoints.run_checkpoints(silver)
+        fresh = checkpoints.freshness_check(silver["events"], checkpoints.pinned_now(run.run_date) if now is None else now)
+        write_validation(checkpoints.validation_rows(results, run.run_id, fresh), run.path("audit", "validation"))
+        stored = run.read("audit", "validation").where(F.col("pipeline_run_id") == run.run_id)
         checkpoints.quality_gate(stored)
-    except checkpoints.GateFailed:
+    except Exception:
         log_stage(run, "quality", started, "failed", quality_passed=False)
         raise
     log_stage(run, "quality", started, "success", quality_passed=True)
@@ -249,6 +253,17 @@ def run_tests(run: Run) -> DataFrame:
     return results
 
 
+class TableTestsFailed(RuntimeError):
+    """A declared table test failed, so no snapshot may be taken."""
+
+
+def require_tests(results: DataFrame) -> None:
+    """Raise ``TableTestsFailed`` when a test counts failures. Reads one row per failing test."""
+    failing = results.where("failures > 0").select("table_name", "test_name", "column_name").collect()
+    if failing:
+        raise TableTestsFailed("failed table tests: " + ", ".join(sorted(".".join(filter(None, r)) for r in failing)))
+
+
 def run_snapshot(run: Run, at: str) -> None:
     """Bring the customer history up to date with the customer dimension."""
     current = run.read("gold", "dim_customers").drop("customer_key")
@@ -263,14 +278,20 @@ def run_snapshot(run: Run, at: str) -> None:
 
 
 def run_all(run: Run, first_day: str, last_day: str, now: Column | None = None, snapshot_at: str | None = None) -> DataFrame:
-    """All stages in order; returns the table test results. A failing stage stops the run."""
+    """All stages in order; returns the table test results. A failing stage or table test stops the run and is logged."""
     run_silver(run)
     run_quality(run, now)
     run_staging(run)
     started = datetime.now(timezone.utc)
-    run_gold(run, first_day, last_day)
-    results = run_tests(run)
-    write_table(results, run.path("audit", "table_tests") + f"/run_id={run.run_id}")
-    run_snapshot(run, snapshot_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"))
+    outcome = run.path("audit", "table_tests") + f"/run_id={run.run_id}"
+    try:
+        run_gold(run, first_day, last_day)
+        write_table(run_tests(run), outcome)
+        results = run.spark.read.parquet(outcome)
+        require_tests(results)
+        run_snapshot(run, snapshot_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"))
+    except Exception:
+        log_stage(run, "gold", started, "failed")
+        raise
     log_stage(run, "gold", started, "success")
-    return run.spark.read.parquet(run.path("audit", "table_tests") + f"/run_id={run.run_id}")
+    return results
