@@ -122,12 +122,13 @@ BLOCKS = {
     "r_events": """
         SELECT * FROM r_first WHERE order_id IS NOT NULL AND customer_id IS NOT NULL""",
     "r_parsed": """
-        SELECT *, CASE WHEN order_amount >= 250 THEN 'malformed'
-                       WHEN quantity = 99 THEN 'unknown:event_type' END AS reject_reason
-        FROM r_bronze""",
+        SELECT *, CAST(NULL AS VARCHAR) AS reject_reason FROM r_bronze""",
     "r_dates": """
         SELECT cast(d AS date) AS full_date, cast(strftime(d, '%Y%m%d') AS bigint) AS date_key
-        FROM generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY) AS t(d)""",
+        FROM (SELECT unnest(generate_series(
+            least((SELECT min(o_orderdate::date) FROM orders), (SELECT min(date_trunc('month', l_shipdate)::date) FROM lineitem)),
+            greatest((SELECT max(o_orderdate::date) FROM orders), (SELECT max(date_trunc('month', l_shipdate)::date) FROM lineitem)),
+            INTERVAL 1 DAY)) AS d)""",
     "r_customer_keys": "SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS customer_key FROM r_customers",
     "r_product_keys": "SELECT product_id, row_number() OVER (ORDER BY product_id) AS product_key FROM r_products",
     "r_totals": """
@@ -281,8 +282,7 @@ FINALS["pin_event_date"] = f"""
 FINALS["stream_dedup_events"] = "SELECT event_id, event_type, customer_id FROM r_first"
 FINALS["stream_event_rate_5m"] = f"""
     SELECT {RATE}, events / 300.0 AS per_second
-    FROM (SELECT pane AS window_start, pane + INTERVAL 5 MINUTE AS window_end, event_type, events FROM r_panes)
-    WHERE window_end <= (SELECT max(event_timestamp) - INTERVAL 1 HOUR FROM r_bronze)"""
+    FROM (SELECT pane AS window_start, pane + INTERVAL 5 MINUTE AS window_end, event_type, events FROM r_panes)"""
 FINALS["ingest_once"] = """
     SELECT DISTINCT strftime(date, '%Y%m') AS drop_id FROM r_inventory
     WHERE strftime(date, '%Y%m') NOT IN (SELECT strftime(order_date, '%Y%m') FROM r_orders)"""
@@ -574,7 +574,7 @@ def _rule_sql(table: str, no: int, rule) -> str:
         "values_to_be_unique": f"count(*) FILTER ({c} IN (SELECT {c} FROM {_SOURCE[table]} GROUP BY 1 HAVING count(*) > 1))",
         "table_row_count_to_be_between": "0",
     }[rule.kind]
-    ok = f"count(*) BETWEEN {rule.low} AND {rule.high}" if rule.kind == "table_row_count_to_be_between" else f"{bad} = 0"
+    ok = f"count(*) >= {rule.low}" if rule.kind == "table_row_count_to_be_between" else f"{bad} = 0"
     suite = SUITES[table]
     return (
         f"SELECT '{suite.name}' AS suite_name, '{suite.checkpoint}' AS checkpoint_name, {no} AS rule_no, '{rule.kind}' AS expectation, "
@@ -740,8 +740,7 @@ FINALS["event_rate_1h"] = f"""
     FROM (SELECT *, window_start + INTERVAL 1 HOUR AS window_end FROM r_sliding)"""
 FINALS["stream_event_rate_1h"] = f"""
     SELECT {RATE}, events / 3600.0 AS per_second
-    FROM (SELECT *, window_start + INTERVAL 1 HOUR AS window_end FROM r_sliding)
-    WHERE window_end <= (SELECT max(event_timestamp) - INTERVAL 1 HOUR FROM r_bronze)"""
+    FROM (SELECT *, window_start + INTERVAL 1 HOUR AS window_end FROM r_sliding)"""
 FINALS["pii_rate_1h"] = f"""
     , panes AS (SELECT time_bucket(INTERVAL 5 MINUTE, masked_at) AS pane, count(*) AS events FROM r_audit GROUP BY 1)
     SELECT {stamp('pane - to_minutes(5 * k)')} AS window_start, {stamp('pane - to_minutes(5 * k) + INTERVAL 1 HOUR')} AS window_end,

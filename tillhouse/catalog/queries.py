@@ -56,6 +56,7 @@ class Retail:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = configure(spark), sf_dir
+        self.calendar: tuple[str | None, str | None] | None = None
 
     def stored(self, mart: str) -> DataFrame:
         """A mart that a query reads twice, as the dashboard does: written once, then queried."""
@@ -91,7 +92,9 @@ class Retail:
         return staging.VIEW[name](self.staged(name))
 
     def dates(self) -> DataFrame:
-        return star.dim_date(self.spark, *given.CALENDAR)
+        if self.calendar is None:
+            self.calendar = given.calendar(self.spark, self.sf_dir)
+        return star.dim_date(self.spark, *self.calendar)
 
     def event_dates(self) -> DataFrame:
         return star.dim_date_of(self.view("events").select(F.col("event_timestamp").cast("date").alias("day")), "day")
@@ -175,6 +178,12 @@ class Retail:
     def drain(self, stream: DataFrame, label: str) -> DataFrame:
         return streams.run_bounded(stream, scratch_path(self.spark, label), scratch_path(self.spark, f"{label}-state"))
 
+    def panes(self) -> str:
+        """Folder of the counts per pane after the stream has taken all events."""
+        root = scratch_path(self.spark, "panes")
+        rates.land_panes(self.timed_stream(), root, scratch_path(self.spark, "panes-state"), bounded=True).awaitTermination()
+        return root
+
     def landed(self) -> str:
         """Bronze folder after the ingest stream has taken all messages."""
         root = scratch_path(self.spark, "bronze")
@@ -240,12 +249,12 @@ def stream_dedup_events(r: Retail) -> DataFrame:
 
 @query
 def stream_event_rate_5m(r: Retail) -> DataFrame:
-    return r.drain(rates.stream_event_rate_5m(r.timed_stream()), "rate5m")
+    return rates.landed_rate_5m(r.spark, r.panes())
 
 
 @query
 def stream_event_rate_1h(r: Retail) -> DataFrame:
-    return r.drain(rates.stream_event_rate_1h(r.timed_stream()), "rate1h")
+    return rates.landed_rate_1h(r.spark, r.panes())
 
 
 @query

@@ -28,6 +28,8 @@ class Expectation:
         if self.allowed:
             return "in " + ", ".join(map(str, self.allowed))
         if self.low is not None:
+            if self.high is None:
+                return f"{self.low:g}.."
             return f"{self.low:g}..{self.high:g}" if self.high < 1e6 else f"{self.low:g}..{int(self.high)}"
         return self.pattern or ""
 
@@ -56,7 +58,8 @@ def matches(column: str, pattern: str) -> Expectation:
     return Expectation("values_to_match_regex", column, pattern=pattern)
 
 
-def row_count_between(low: int, high: int) -> Expectation:
+def row_count_between(low: int, high: int | None = None) -> Expectation:
+    """Without ``high`` a table may grow as large as it likes."""
     return Expectation("table_row_count_to_be_between", low=low, high=high)
 
 
@@ -91,7 +94,7 @@ def run_suite(df: DataFrame, suite: Suite, by: Sequence[str] = ()) -> DataFrame:
     aggregates = [F.count("*").alias("table_rows")]
     for no, rule in enumerate(suite.rules, start=1):
         if rule.kind == "table_row_count_to_be_between":
-            pooled.append(_result(no, rule, F.lit(0).cast("bigint"), rows.between(rule.low, rule.high)))
+            pooled.append(_result(no, rule, F.lit(0).cast("bigint"), (rows >= rule.low) if rule.high is None else rows.between(rule.low, rule.high)))
         elif rule.column not in df.columns:
             pooled.append(_result(no, rule, F.lit(None).cast("bigint"), F.lit(False)))
         elif rule.kind == "column_to_exist":

@@ -162,6 +162,22 @@ def window_rate(df: DataFrame, time: str, length: str, seconds: int, by: tuple[s
     )
 
 
+def pane_counts(df: DataFrame, time: str, length: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Rows per pane and group, as ``pane_start, events``; counts of the same pane may be added up later."""
+    panes = df.groupBy(F.window(time, length).alias("w"), *by).agg(F.count("*").alias("events"))
+    return panes.select(F.col("w.start").alias("pane_start"), *by, "events")
+
+
+def pane_rate(panes: DataFrame, length: str, seconds: int, by: tuple[str, ...] = (), slide: str | None = None) -> DataFrame:
+    """``window_rate`` from counts per pane, where a pane is no longer than the slide and divides it."""
+    spans = F.window("pane_start", length, slide or length)
+    sums = panes.groupBy(spans.alias("w"), *by).agg(F.sum("events").alias("events"))
+    return sums.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "events",
+        (F.col("events") / F.lit(float(seconds))).alias("per_second"),
+    )
+
+
 def event_rate_5m(events: DataFrame, time: str = "event_timestamp") -> DataFrame:
     return window_rate(events, time, "5 minutes", 300, ("event_type",))
 

@@ -9,9 +9,8 @@ from pyspark.sql.types import StructType
 
 from tillhouse.operators.ingest import accepted, ingest_metrics, parse_events, quarantined, with_bronze_partition
 
-# Flush policy and lateness.
+# Flush interval and lateness.
 FLUSH_SECONDS = 15
-FLUSH_ROWS = 200
 LATENESS = "1 hour"
 
 
@@ -33,11 +32,11 @@ def file_messages(spark: SparkSession, path: str, max_files: int | None = None)
 
 
 def table_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
-    """A Parquet file or folder as a stream."""
+    """A Parquet file or folder as a stream. The pattern fits that one name, as a file source takes no plain file."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(f"{path}*")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def _trigger(bounded: bool, seconds: int) -> dict:

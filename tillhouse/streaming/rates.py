@@ -1,13 +1,46 @@
-"""Event rates on a stream. Append mode emits a window once the watermark has passed its end."""
+"""Event rates on a stream.
+
+``land_panes`` keeps counts per five-minute pane of every micro-batch; rates read from them are complete at any time, also for
+the newest windows and for rows that come late, and the stream holds no state. The append forms emit a window once, when
+the watermark has passed its end, and so leave out the newest windows and late rows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
-from tillhouse.plans.ops import event_rate_1h, event_rate_5m
+from tillhouse.plans.ops import event_rate_1h, event_rate_5m, pane_counts, pane_rate
+from tillhouse.sources.readers import read_or_empty
 from tillhouse.streaming.bronze import LATENESS
 
 
+PANE = "5 minutes"
+PANES = "pane_start timestamp, event_type string, events long"
+
+
+def land_panes(events: DataFrame, root: str, checkpoint: str, time: str = "event_timestamp", bounded: bool = False, seconds: int = 15) -> StreamingQuery:
+    """Counts per pane and event type of every micro-batch, in a folder of its own that a repeated batch overwrites."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        pane_counts(batch, time, PANE, ("event_type",)).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+
+    trigger = {"availableNow": True} if bounded else {"processingTime": f"{seconds} seconds"}
+    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def landed_panes(spark: SparkSession, root: str) -> DataFrame:
+    return read_or_empty(spark, PANES, lambda: spark.read.schema(PANES).parquet(root))
+
+
+def landed_rate_5m(spark: SparkSession, root: str) -> DataFrame:
+    return pane_rate(landed_panes(spark, root), "5 minutes", 300, ("event_type",))
+
+
+def landed_rate_1h(spark: SparkSession, root: str) -> DataFrame:
+    return pane_rate(landed_panes(spark, root), "1 hour", 3600, ("event_type",), slide=PANE)
+
+
 def stream_event_rate_5m(events: DataFrame, time: str = "event_timestamp", lateness: str = LATENESS) -> DataFrame:
     return event_rate_5m(events.withWatermark(time, lateness), time)
 
