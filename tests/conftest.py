@@ -30,8 +30,3 @@ def frame(spark):
         return spark.createDataFrame(list(rows), schema)
 
     return build
-
-
-def rows(df, *order: str) -> list[tuple]:
-    """Collected rows as tuples, in a stable order."""
-    return sorted((tuple(r) for r in df.select(*(order or df.columns)).collect()), key=lambda r: tuple((v is None, str(v)) for v in r))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from collected import rows
 from tillhouse.catalog.queries import QUERIES
 from tillhouse.operators import conform, ingest
 from tillhouse.plans import checkpoints, medallion, ops

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from collected import rows
 from tillhouse.operators import ingest
 
 GOOD = {"event_id": "e1", "event_type": "order_placed", "event_timestamp": "2024-01-15T10:00:00.000Z", "quantity": 2, "order_amount": 21.0}

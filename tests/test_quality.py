@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from collected import rows
 from tillhouse.operators import expectations as ex
 from tillhouse.operators import rules
 from tillhouse.plans import checkpoints

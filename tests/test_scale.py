@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from collected import rows
 from tillhouse.operators import rules
 from tillhouse.operators.expectations import Suite, run_suite, unique
 from tillhouse.plans import marts, star

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from collected import rows
 from tillhouse.functions.exprs import contains_text, range_days, range_months
 from tillhouse.plans import ops, serving
 

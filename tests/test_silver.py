@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from collected import rows
 from tillhouse.functions.exprs import email_hash
 from tillhouse.operators import conform, dedup, privacy
 from tillhouse.schemas import BRONZE_CSV, EVENT

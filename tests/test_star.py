@@ -8,7 +8,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from collected import rows
 from tillhouse.operators import history, keys, upsert
 from tillhouse.plans import marts, star
 
