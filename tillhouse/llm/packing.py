@@ -87,8 +87,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, text: str, doc_id: str, capaci
         encode = encoder(tokenizer)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
+            for at in range(0, len(batch), 2048):
+                part = batch.slice(at, 2048)
                 rows = []
                 for d, code in zip(part.column("doc_id").to_pylist(), encode([t or "" for t in part.column("text").to_pylist()])):
                     code += end
