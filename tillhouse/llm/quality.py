@@ -128,7 +128,8 @@ def judge(docs: DataFrame, text: str = "text", rules: list[tuple[str, float | No
             blanks = F.replace(blanks, F.lit(c), F.lit(" "))
         return bound(blanks, lambda b: F.struct(*[c.alias(k) for k, c in base_measures(t, b).items()]))
 
-    out = docs.withColumn("_m", bound(source, measures))
+    # one row each, behind a generator: a filter on the verdict is not pushed below it, where it would measure again per rule
+    out = docs.withColumn("_m", F.explode_outer(F.transform(F.array(source), measures)))
     base = {c: F.col(f"_m.w.{c}") for c in ("n_words", "n_repeat_words")} | {"n_dup_lines": F.col("_m.l.n_dup_lines")} | {c: F.col(f"_m.{c}") for c in ("word_chars", "n_symbols")}
     values = ratios()
     failed = []
