@@ -13,6 +13,8 @@ from tillhouse.llm import decontam, neardup, packing, quality, suffix
 from tillhouse.llm.queries import table, tokenizer_path
 from tillhouse.session import configure, materialize
 
+NEAR_PERCENT = 80  # similarity of shingle sets from which the pipeline takes documents for near copies; op7 has 85
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules."""
@@ -21,9 +23,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
+    """One document of each group of near-duplicates (similarity 0.8 or more): the one with the smallest id."""
     configure(spark)
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = neardup.near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 
 

@@ -4,7 +4,8 @@ Each tree starts with one minwise shingle per document: documents that share it
 ``NODE_ROWS`` documents branches: every document goes to ``BRANCHES`` children, chosen by coordinates of its sketch that the
 path picks. Small nodes are compared exhaustively on sketches. ``TREES`` independent trees run. A pair at similarity 0.85
 shares the first shingle of a tree with probability 0.85, and two branches keep such a pair with 0.97 at any depth, so all
-ten trees miss it with probability 3e-8; the sketch comparison (36 of 64 coordinates) misses it with about 3e-7.
+ten trees miss it with probability 3e-8; the sketch comparison (36 of 64 coordinates) misses it with about 3e-7. At 0.8, the
+limit of the pipeline's stage, the trees miss a pair with 1e-6 and the sketches with 4e-6.
 What the trees join is then compared on full shingle sets.
 """
 

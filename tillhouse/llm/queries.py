@@ -60,7 +60,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
