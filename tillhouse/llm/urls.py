@@ -23,8 +23,10 @@ RULES = [
 ]
 UNIT = 1_000_000_000_000
 DAMPING = 85  # percent that follows the links
-ROUNDS = 10
-CUT = 3  # rounds between two written tables
+TOLERANCE = UNIT // 10_000  # no host's score changes by more in the last CUT rounds
+CUT = 5  # rounds between two written tables
+# Second levels of two-letter domains below which names are registered (example.co.uk).
+SECOND_LEVELS = "ac|co|com|edu|go|gob|gov|gouv|ne|net|or|org"
 
 
 def host_of(url: Column) -> Column:
@@ -46,41 +48,62 @@ def rule_columns(host: Column, path: Column, rules: list[tuple[str, str, str]] =
     return name, verdict
 
 
+def site_hosts(host: Column) -> Column:
+    """The host and the hosts it is a part of, up to the registered domain; whether these have pages plays no part.
+
+    The registered domain is the last two labels, or three below a two-letter domain with a second level of its own. Addresses
+    and hosts of one label stand alone.
+    """
+    labels = F.split(host, r"\.")
+    least = F.when(host.rlike(rf"\.(?:{SECOND_LEVELS})\.[a-z]{{2}}(?::\d*)?$"), 3).otherwise(2)
+    alone = host.rlike(r"^[\d.]+(?::\d*)?$|^\[|@") | (F.size(labels) <= least)
+    up = F.transform(F.sequence(F.lit(1), F.size(labels) - least + 1), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    return F.when(alone, F.array(host)).otherwise(up)
+
+
 def host_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Links ``src, dst, n`` between different hosts: absolute links in the pages, and a host with the host it is a part of."""
+    """Links ``src, dst, n`` between different hosts: absolute links in the pages, and every host with the host it is a part of.
+
+    Hosts between a page's host and its registered domain are there even if they have no page, so hosts of one site are linked.
+    """
     target = F.regexp_extract_all(F.col(html), F.lit(r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""), 1)
     links = pages.where("host <> ''").select(F.col("host").alias("src"), F.explode(target).alias("dst"))
     links = links.select("src", F.translate("dst", UPPER, UPPER.lower()).alias("dst")).groupBy("src", "dst").agg(F.count("*").alias("n"))
     hosts = pages.where("host <> ''").select("host").distinct()
-    parts = hosts.select("host", F.regexp_replace("host", r"^[^.]*\.", "").alias("parent"))
-    parts = parts.join(hosts.select(F.col("host").alias("parent")), "parent", "left_semi").where("host <> parent")
+    levels = hosts.select(site_hosts(F.col("host")).alias("up"))
+    steps = F.explode(F.transform(F.slice("up", 2, F.size("up")), lambda parent, i: F.struct(F.col("up")[i].alias("host"), parent.alias("parent"))))
+    parts = levels.where(F.size("up") > 1).select(steps.alias("s")).select("s.*").distinct()
     site = parts.select(F.col("host").alias("src"), F.col("parent").alias("dst"), F.lit(1).cast("long").alias("n"))
     site = site.unionByName(site.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
     return links.unionByName(site).where("src <> dst").groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING) -> DataFrame:
+def propagate(seeds: DataFrame, links: DataFrame, tolerance: int = TOLERANCE, damping: int = DAMPING) -> DataFrame:
     """Personalised PageRank of ``seeds`` (kind, host, seed) over ``links`` (kind, src, dst, n): ``kind, host, score``.
 
-    Each round, ``damping`` percent of a host's score goes out in the shares of its links, and every seed gets its part again. A
-    host without links keeps nothing for others. Scores and shares are cut to whole units.
+    Scores start as the part of the seeds that follows no links. Each round, ``damping`` percent of a host's score goes out in the
+    shares of its links, and every seed gets that part again, so scores only grow towards their limit. It ends when ``CUT`` rounds
+    change no score by more than ``tolerance``. A host without links keeps nothing for others. Scores and shares are cut to whole units.
     """
     out = links.groupBy("kind", "src").agg(F.sum("n").alias("all"))
     shares = materialize(links.join(out, ["kind", "src"]).select("kind", "src", "dst", "n", "all"), "shares")
-    score = seeds.select("kind", "host", F.col("seed").alias("score"))
     again = seeds.select("kind", "host", F.expr(f"seed * {100 - damping} div 100").alias("score"))
-    for k in range(1, rounds + 1):
-        sent = score.withColumnRenamed("host", "src")
-        moved = shares.join(sent, ["kind", "src"]).select(
-            "kind", F.col("dst").alias("host"), F.expr(f"(score * {damping} div 100) div all * n").alias("score")
-        )
-        score = moved.unionByName(again).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if k % CUT == 0 and k < rounds:
-            score = materialize(score, "scores")
-    return score
-
-
-def host_scores(pages: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    score = again
+    while True:
+        before = score
+        for _ in range(CUT):
+            sent = score.withColumnRenamed("host", "src")
+            moved = shares.join(sent, ["kind", "src"]).select(
+                "kind", F.col("dst").alias("host"), F.expr(f"((score div 100) * {damping} + (score % 100) * {damping} div 100) div all * n").alias("score")
+            )
+            score = moved.unionByName(again).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        score = materialize(score, "scores")
+        change = score.unionByName(before.select("kind", "host", (-F.col("score")).alias("score"))).groupBy("kind", "host").agg(F.sum("score").alias("change"))
+        if (change.agg(F.max("change")).first()[0] or 0) <= tolerance:
+            return score
+
+
+def host_scores(pages: DataFrame, tolerance: int = TOLERANCE) -> DataFrame:
     """``host, trust, distrust`` of every host with a score. ``pages`` has host, verdict (of the rules) and html.
 
     Seeds: a host's share of allowed (blocked) pages, in units.
@@ -90,13 +113,13 @@ def host_scores(pages: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
     kinds = F.explode(F.array(F.struct(F.lit("trust").alias("kind"), F.col("allow").alias("k")), F.struct(F.lit("distrust").alias("kind"), F.col("block").alias("k")))).alias("s")
     seeds = materialize(per.select("host", "n", kinds).where("s.k > 0").select("s.kind", "host", F.expr(f"{UNIT} * s.k div n").alias("seed")), "seeds")
-    links = host_links(pages)
+    links = materialize(host_links(pages), "links")
     both = links.select(F.lit("trust").alias("kind"), "src", "dst", "n").unionByName(links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
-    scores = propagate(seeds, both, rounds)
+    scores = propagate(seeds, both, tolerance)
     return scores.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0)).alias("trust"), F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0)).alias("distrust"))
 
 
-def judge_pages(pages: DataFrame, url: str = "url", html: str = "html", rules: list[tuple[str, str, str]] = RULES, least: int = UNIT // 20, rounds: int = ROUNDS) -> DataFrame:
+def judge_pages(pages: DataFrame, url: str = "url", html: str = "html", rules: list[tuple[str, str, str]] = RULES, least: int = UNIT // 20, tolerance: int = TOLERANCE) -> DataFrame:
     """``pages`` without its html, with ``host, path, rule, verdict, trust, distrust``; columns of these names are replaced.
 
     The longest rule decides; where none fits, a host is blocked when its distrust is above its trust and at least ``least``
@@ -109,7 +132,7 @@ def judge_pages(pages: DataFrame, url: str = "url", html: str = "html", rules: l
     parsed = pages.withColumns({"host": host, "path": path})
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     ruled = parsed.withColumns({"rule": rule, "verdict": verdict})
-    scores = materialize(host_scores(ruled.select("host", "verdict", F.col(html).alias("html")), rounds), "hosts").withColumnRenamed("host", "_host")
+    scores = materialize(host_scores(ruled.select("host", "verdict", F.col(html).alias("html")), tolerance), "hosts").withColumnRenamed("host", "_host")
     joined = ruled.drop(html).join(scores, F.col("host") == F.col("_host"), "left").drop("_host").fillna(0, ["trust", "distrust"])
     by_host = F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") >= least), "block").otherwise("allow")
     return joined.withColumn("verdict", F.coalesce("verdict", by_host))
