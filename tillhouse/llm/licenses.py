@@ -88,17 +88,18 @@ RULES: list[tuple[str, tuple[str, ...], bool]] = [
     ("Unlicense", ("unlicense",), True),
 ]
 
-# A sentence without one of these letters runs fits no pattern; most texts have none and are not cut at all.
-HINT = r"(?i)licen[sc]e|copyright|copr\.|©|permission|warrant|liable|redistribut|rights reserved|public domain|copy of the gnu"
+# A text or normalised sentence without one of these letter runs fits no pattern (a test has an example of each); most texts have
+# none and are not cut at all.
+HINT = r"(?i)licen[sc]e|copyright|copr\.|©|permission|warrant|liable|redistribut|endorse|rights[\W_]+reserved|public[\W_]+domain|creative[\W_]+commons|(?<![\p{L}\p{N}])cc(?!\p{L})"
 # Sentences that begin a line even if the line before looks unfinished.
 _OPENING = r"(?i:permission |redistribution|licensed |released |copyright|all rights reserved|this software is provided|the software is provided|in no event)"
 # A line that goes on: in capitals, after a comma, or after a word that ends no sentence of a licence.
 _UNFINISHED = r"(?<=[A-Z\"',]{2}[ \t]{0,4})\n(?=\s*[A-Z]{2})|(?<=,[ \t]{0,4})\n|(?<=\b(?i:the|a|of|by|or|and|in|to|under|with|for|this|gnu|lesser|general|public|free|mozilla|mit|creative|commons)[ \t]{0,4})\n|\n(?=\s*Version \d)"
-# Ends: punctuation before white space (not after a list number, in "v. 2.0", in an SPDX tag or inside the sentences of the GPL),
+# Ends: punctuation before white space (not after a list number, in "v. 2.0" or "Copr. 2020", in an SPDX tag or inside the sentences of the GPL),
 # blank lines (not before the address of a licence), lines before a capital that do not go on, and both ends of an SPDX tag.
 SENTENCE_END = "|".join(
     [
-        r"(?<!(?:^|\n|[.;:!?]\s)[ \t#*/]{0,20}(?:\d{1,3}|\b[a-z]))(?<!\bv(?=\.\s{1,9}\d))[.](?:[.!?;:]*)(?=\s|$)",
+        r"(?<!(?:^|\n|[.;:!?]\s)[ \t#*/]{0,20}(?:\d{1,3}|\b[a-z]))(?<!\b(?i:v|copr)(?=\.\s{1,9}\d))[.](?:[.!?;:]*)(?=\s|$)",
         r"[!?][.!?;:]*(?=\s|$)",
         r"(?<!(?i:spdx-license-identifier|free\s{1,20}software|any\s{1,20}warranty|this\s{1,20}program))[;:][.!?;:]*(?=\s|$)",
         r"(?<!(?i:license\sat)\s{0,4})\n\s*\n",
@@ -123,7 +124,7 @@ def identifiers(text: Column, sentences: list[tuple[str, str]] = SENTENCES) -> C
     """The identifier of every sentence with words, in order; ``-`` where the table has none."""
 
     def name(s: Column) -> Column:
-        found = F.when(~s.rlike(HINT) & ~s.rlike(r"^(?:you may|this program|this is free|to the extent|.*neither the name|this source code|released|licensed|this software)"), F.lit("-"))
+        found = F.when(~s.rlike(HINT), F.lit("-"))
         for key, pattern in sentences:
             # the blank lets a sentence end where " .*" of its pattern begins
             found = found.when(F.concat(s, F.lit(" ")).rlike(f"^(?:{pattern}) ?$"), F.lit(key))
