@@ -1,4 +1,4 @@
-"""Substring deduplication over words by level-wise doubling."""
+"""Substring deduplication over words by one doubling of the window, from half the length to the whole."""
 
 from __future__ import annotations
 
