@@ -112,3 +112,35 @@ kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS k FROM w
 SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.k, '')) AS kept_sha256
 FROM t LEFT JOIN kept USING (doc_id)
 """
+
+
+def _clustering_rounds() -> str:
+    """Three rounds and the last assignment, each from the one before."""
+    out = []
+    for i in range(4):
+        out.append(f"""
+away{i} AS (SELECT v.vec_id, c.c, sum((v.x - c.x) * (v.x - c.x)) AS dist FROM v JOIN c{i} c USING (d) GROUP BY v.vec_id, c.c),
+near{i} AS (SELECT vec_id, c, dist FROM away{i} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, c) = 1)""")
+        if i < 3:
+            out.append(f"""
+mean{i} AS (SELECT c, d, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM v JOIN near{i} USING (vec_id) GROUP BY c, d),
+c{i + 1} AS (
+  SELECT c{i}.c, c{i}.d, CASE WHEN n IS NULL THEN c{i}.x WHEN s % n < 0 THEN s // n - 1 ELSE s // n END AS x
+  FROM c{i} LEFT JOIN mean{i} ON mean{i}.c = c{i}.c AND mean{i}.d = c{i}.d)""")
+    return ",".join(out)
+
+
+ORACLES["op12_centroid_clustering"] = f"""
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda y: CAST(floor(64 * CAST(y AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y))) = 64),
+v AS (SELECT vec_id, unnest(range(1, 65)) AS d, unnest(q) AS x FROM e),
+first AS (
+  SELECT vec_id, CAST(row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR))) - 1 AS INT) AS c
+  FROM e QUALIFY c < 16),
+c0 AS (SELECT c, d, x FROM v JOIN first USING (vec_id)),{_clustering_rounds()},
+digest AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS k FROM c3 GROUP BY c)
+SELECT vec_id, c AS cluster, CAST(dist AS BIGINT) AS distance, CAST(sum(dist) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(dist) OVER () AS BIGINT) AS inertia, k AS centroid_sha256
+FROM near3 JOIN digest USING (c)
+"""
