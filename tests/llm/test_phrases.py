@@ -1,0 +1,124 @@
+"""Phrase collocations against a plain recount, and the trie against dictionaries."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tillhouse.llm import phrases
+from tillhouse.llm.trie import Trie
+
+SCHEMA = "doc_id long, text string, lang string, n long, h long, word string, path string, rank int"
+
+
+def plain(rows, longest=3, least=10, percent=50, top=2000, scale=1_000_000):
+    f, total = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", low):
+            words = re.findall("[^ \t]+", piece)
+            total[lang] += len(words)
+            for k in range(1, longest + 1):
+                f.update((lang, *words[i : i + k]) for i in range(len(words) - k + 1))
+    found = {p: a for p, a in f.items() if len(p) > 2 and a >= least}
+    out = {}
+    for p, a in found.items():
+        cuts = [(scale * a * a // (f[p[: k + 1]] * f[(p[0], *p[k + 1 :])]), k) for k in range(1, len(p) - 1)]
+        score, k = min(cuts)
+        longer = [b for q, b in found.items() if q[0] == p[0] and len(q) > len(p) and any(q[i : i + len(p) - 1] == p[1:] for i in range(1, len(q)))]
+        if not any(100 * b >= percent * a for b in longer):
+            out.setdefault(p[0], []).append((-score, -a, " ".join(p[1:]).encode(), f[p[: k + 1]], f[(p[0], *p[k + 1 :])]))
+    rows = []
+    for lang, own in out.items():
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(own)[:top], 1):
+            rows.append((lang, rank, phrase.decode(), -a, l, r, total[lang], -score))
+    return sorted(rows)
+
+
+def frame(spark, rows, parts=4):
+    return spark.createDataFrame([(i, t, g, 1, 1, "x", "y", 1) for i, (t, g) in enumerate(rows)], SCHEMA).repartition(parts)
+
+
+def random_rows(seed, n=150):
+    rng = random.Random(seed)
+    words = ["the", "The", "a", "big", "red", "dog", "straße", "漢字", "x" * 40, "new", "york", "city", "\x00odd", "é"]
+    rows = []
+    for _ in range(n):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\t", ", ", ".", "\n", "\x0b", ";x "]) for _ in range(rng.randint(0, 40)))
+        rows.append((text, rng.choice(["en", "en", "de", None, "und"])))
+    return rows + [(None, "en"), ("", None), ("...", "de"), ("new york city " * 30, "en"), ("a a a a a a a a a a a a a a", "fr")]
+
+
+@pytest.mark.parametrize("longest,least,percent,top", [(3, 10, 50, 2000), (2, 3, 50, 5), (4, 5, 80, 2000)])
+def test_against_a_plain_recount(spark, longest, least, percent, top):
+    rows = random_rows(longest)
+    want = plain(rows, longest, least, percent, top)
+    got = phrases.collocations(frame(spark, rows), longest=longest, least=least, percent=percent, top=top)
+    assert sorted(map(tuple, got.collect())) == want and want
+
+
+def test_parts_slices_and_a_full_bit_table(spark, monkeypatch):
+    """Several tries, small slices and flushes, and a bit table that lets everything through change nothing."""
+    monkeypatch.setattr(phrases, "PART_PHRASES", 40)
+    monkeypatch.setattr(phrases, "bit_table", lambda _: np.full(1 << 24, 255, np.uint8))
+    rows = random_rows(9) + [("big red dog, " * 2000, "en")]
+    assert sorted(map(tuple, phrases.collocations(frame(spark, rows)).collect())) == plain(rows)
+
+
+def test_nothing_to_find(spark):
+    rows = [("one two", "en"), (None, None), ("", "en")]
+    found = phrases.collocations(frame(spark, rows))
+    assert found.count() == 0 and found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert phrases.collocations(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_another_hash_function_after_a_collision(spark, monkeypatch):
+    asked, real = [], phrases.counted_words
+
+    def broken(docs, seed):
+        asked.append(seed)
+        words = real(docs, seed)
+        return words.selectExpr("0L as h", "lang", "word", "n") if seed == 0 else words
+
+    monkeypatch.setattr(phrases, "counted_words", broken)
+    rows = random_rows(2, 40)
+    assert sorted(map(tuple, phrases.collocations(frame(spark, rows)).collect())) == plain(rows) and asked == [0, 1]
+
+
+def test_word_hashes_do_not_depend_on_place_or_length():
+    texts = ["b" * 3_000_000 + " ab", "x ab " + "B" * 3_000_000, "ab " * 500_000]
+    words = phrases.Words(pa.chunked_array([texts]), ["en", "en", "en"], 3)
+    h = {words.text(i)[:3] + str(words.ends[i] - words.starts[i]): [] for i in (0, 1, 2)}
+    for i in range(len(words.hashes)):
+        h.setdefault(words.text(i)[:3] + str(words.ends[i] - words.starts[i]), []).append(int(words.hashes[i]))
+    assert all(len(set(v)) == 1 for v in h.values()) and len(h["bbb3000000"]) == 2 and len({v[0] for v in h.values()}) == 3
+    other = phrases.Words(pa.chunked_array([["ab"]]), ["de"], 3)
+    assert other.hashes[0] != words.hashes[1]
+
+
+def test_trie_counts_equal_a_dictionary():
+    rng = np.random.default_rng(6)
+    for vocabulary, n, longest in ((5, 40, 3), (300, 3000, 3), (2000, 9000, 4), (3, 60, 5)):
+        names = rng.integers(1, 2**63, vocabulary, dtype=np.uint64)
+        skew = (vocabulary * rng.random((n, longest)) ** 3).astype(int)
+        lengths = rng.integers(1, longest + 1, n)
+        unique = sorted({tuple(skew[i, : lengths[i]].tolist()) for i in range(n)})
+        lengths = np.array([len(p) for p in unique])
+        paths = np.zeros((len(unique), longest), np.uint64)
+        for i, p in enumerate(unique):
+            paths[i, : len(p)] = names[list(p)]
+        text = (vocabulary * rng.random(4000) ** 3).astype(int)
+        piece = np.cumsum(rng.random(4000) < 0.1)
+        trie = Trie(paths, lengths)
+        counts = sum((np.bincount(x, minlength=len(unique)) for x in trie.follow(names[text], piece)), np.zeros(len(unique), int))
+        want = Counter()
+        for k in range(1, longest + 1):
+            want.update(tuple(text[i : i + k].tolist()) for i in range(4000 - k + 1) if piece[i] == piece[i + k - 1])
+        assert counts.tolist() == [want[p] for p in unique]
+        assert len(trie.base) < 12 * len(unique) + 8 * vocabulary + 5000

@@ -113,6 +113,34 @@ SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept.
 FROM t LEFT JOIN kept USING (doc_id)
 """
 
+ORACLES["op11_phrase_collocations"] = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) s(k)) GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidate AS (SELECT lang, k, p, f AS a, string_split(p, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cut AS (
+  SELECT c.lang, c.k, p, a, w, j, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:k], ' ') AS rest
+  FROM candidate c, (VALUES (1), (2)) s(j) WHERE j < c.k),
+score AS (
+  SELECT cut.lang, cut.k, cut.p, a, w, h.f AS l, t.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(h.f AS HUGEINT) * t.f) AS BIGINT) AS score
+  FROM cut JOIN f h ON h.lang = cut.lang AND h.p = head JOIN f t ON t.lang = cut.lang AND t.p = rest
+  QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.p ORDER BY score, j) = 1),
+part AS (
+  SELECT DISTINCT lang, p AS whole, a AS of_whole, array_to_string(w[i:i + 1], ' ') AS p
+  FROM candidate, (VALUES (1), (2)) s(i) WHERE k = 3),
+covered AS (SELECT DISTINCT s.lang, s.p FROM score s JOIN part USING (lang, p) WHERE 100 * of_whole >= 50 * a),
+placed AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank, p AS phrase, a, l, r, score
+  FROM score ANTI JOIN covered USING (lang, p))
+SELECT lang, rank, phrase, a, l, r, n, score FROM placed JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 
 def _clustering_rounds() -> str:
     """Three rounds and the last assignment, each from the one before."""

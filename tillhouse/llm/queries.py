@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import centroids, decontam, langid, licenses, neardup, neighbours, packing, quality, suffix, tokens, urls, windows
+from tillhouse.llm import centroids, decontam, langid, licenses, neardup, neighbours, packing, phrases, quality, suffix, tokens, urls, windows
 from tillhouse.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.digest(windows.dedup_words(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -95,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8,
     "op9_suffix_dedup": op9,
     "op10_substring_dedup": op10,
+    "op11_phrase_collocations": op11,
     "op12_centroid_clustering": op12,
     "op13_nearest_neighbours": op13,
 }
