@@ -66,6 +66,9 @@ def test_against_a_plain_recount(spark, longest, least, percent, top):
 def test_parts_slices_and_a_full_bit_table(spark, monkeypatch):
     """Several tries, small slices and flushes, and a bit table that lets everything through change nothing."""
     monkeypatch.setattr(phrases, "PART_PHRASES", 40)
+    monkeypatch.setattr(phrases, "TOGETHER", 2)
+    monkeypatch.setattr(phrases, "RANGE", 16)
+    monkeypatch.setattr(phrases, "SLICE", 500)
     monkeypatch.setattr(phrases, "bit_table", lambda _: np.full(1 << 24, 255, np.uint8))
     rows = random_rows(9) + [("big red dog, " * 2000, "en")]
     assert sorted(map(tuple, phrases.collocations(frame(spark, rows)).collect())) == plain(rows)
@@ -116,7 +119,7 @@ def test_trie_counts_equal_a_dictionary():
         text = (vocabulary * rng.random(4000) ** 3).astype(int)
         piece = np.cumsum(rng.random(4000) < 0.1)
         trie = Trie(paths, lengths)
-        counts = sum((np.bincount(x, minlength=len(unique)) for x in trie.follow(names[text], piece)), np.zeros(len(unique), int))
+        counts = sum((np.bincount(x, minlength=len(unique)) for x in trie.follow(names, text, piece)), np.zeros(len(unique), int))
         want = Counter()
         for k in range(1, longest + 1):
             want.update(tuple(text[i : i + k].tolist()) for i in range(4000 - k + 1) if piece[i] == piece[i + k - 1])

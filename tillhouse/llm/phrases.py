@@ -4,9 +4,9 @@
 2. Level ``k`` scans the texts with a bit table of the level below: where two overlapping candidates of ``k - 1`` words follow each other,
    their union may be frequent. Such phrases are tallied per slice of text and added up in Spark; what reaches ``least`` is a
    candidate. The bit table has a fixed size and may let more through, never less (a phrase cannot be more frequent than its parts).
-3. The candidates go into double-array tries of at most ``PART_PHRASES`` phrases, which are broadcast one after the other. All positions
-   of a text advance through the trie together, one word a level; accepting states are counted with bincount, and the
-   counts of all tasks are added up in ranges.
+3. The candidates go into double-array tries of about ``PART_PHRASES`` phrases, and ``TOGETHER`` of them are broadcast for one scan of the
+   texts. All positions of a text advance through a trie together, one word a level; accepting states are counted with
+   bincount, and the counts of all tasks are added up in ranges.
 4. Scores, the cut with the lowest score, and containment in longer phrases are joins and aggregates over the counted phrases.
 
 Words go by 64-bit hashes of language and word. Step 1 compares the texts that the tasks have met under a hash; if two differ,
@@ -31,8 +31,9 @@ from tillhouse.llm.trie import Trie
 from tillhouse.session import materialize
 
 U = np.uint64
-SLICE = 8 << 20  # bytes of text looked at together
-PART_PHRASES = 1 << 21
+SLICE = 4 << 20  # bytes of text looked at together
+PART_PHRASES = 1 << 18  # in one trie
+TOGETHER = 8  # tries that one scan of the texts follows
 RANGE = 1 << 16  # phrase counts that are added up together
 BITS = 27  # of the bit table's index
 HELD_WORDS = 1 << 20  # distinct words a task holds before it passes their counts on
@@ -229,35 +230,45 @@ def path_hashes(paths: DataFrame) -> DataFrame:
     return paths.mapInArrow(run, "g long")
 
 
-def counted(docs: DataFrame, seed: int, phrases: DataFrame, longest: int) -> DataFrame:
-    """``key, n``: how often each of ``phrases`` (``key, path, part`` of one part) occurs."""
-    spark = docs.sparkSession
+def built(phrases: DataFrame, longest: int) -> tuple[Trie, np.ndarray]:
+    """The trie of one part (``key, path``), and the key of each phrase in it."""
     table = phrases.select("key", "path").toArrow()
     column = table["path"].combine_chunks()
-    lengths = pc.list_value_length(column).to_numpy().astype(np.int64)
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
     paths = np.zeros((len(lengths), longest), U)
     paths[np.arange(longest) < lengths[:, None]] = column.flatten().to_numpy().view(U)
-    keys = table["key"].to_numpy()
-    sent = spark.sparkContext.broadcast((Trie(paths, lengths), keys))
-    size = len(keys)
+    return Trie(paths, lengths), table["key"].to_numpy()
+
+
+def counted(docs: DataFrame, seed: int, parts: list[DataFrame], longest: int) -> DataFrame:
+    """``key, n``: how often each phrase of some parts occurs, in one scan."""
+    sent, sizes = [], []
+    for part in parts:
+        trie, keys = built(part, longest)
+        sizes.append(len(keys))
+        sent.append(docs.sparkSession.sparkContext.broadcast((trie, keys)))
+        del trie, keys  # the driver holds one trie at a time
+    width = max(-(-n // RANGE) for n in sizes) + 1  # numbers of ranges per trie
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = sent.value[0]
-        counts = np.zeros(size, np.int64)
+        counts = [np.zeros(n, np.int64) for n in sizes]
         for words, _ in slices(batches, seed):
-            found = list(trie.follow(words.hashes, words.piece))
-            if found:
-                counts += np.bincount(np.concatenate(found), minlength=size)
-        for r in range(0, size, RANGE):
-            part = counts[r : r + RANGE]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([r // RANGE], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["range", "counts"])
+            hashes, number = np.unique(words.hashes, return_inverse=True)
+            for trie, count in zip(sent, counts):
+                for found in trie.value[0].follow(hashes, number, words.piece):
+                    count += np.bincount(found, minlength=len(count))
+        for t, count in enumerate(counts):
+            for r in range(0, len(count), RANGE):
+                part = count[r : r + RANGE]
+                if part.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([t * width + r // RANGE], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["range", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, total = None, None
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array(sent.value[1][at * RANGE : at * RANGE + len(total)]), pa.array(total)], names=["key", "n"])
+            lo = at % width * RANGE
+            return pa.RecordBatch.from_arrays([pa.array(sent[at // width].value[1][lo : lo + len(total)]), pa.array(total)], names=["key", "n"])
 
         for batch in batches:
             for r, part in zip(batch.column("range").to_pylist(), batch.column("counts")):
@@ -338,8 +349,9 @@ def collocations(
     parts = -(-total // PART_PHRASES) + (total > PART_PHRASES)  # one more, as parts by hash differ in size
     paths = materialize(paths.select(F.monotonically_increasing_id().alias("key"), "path", F.pmod(F.xxhash64("path"), F.lit(parts)).alias("part")), "paths")
     found = None
-    for p in range(parts):
-        own = materialize(counted(texts, seed, paths.where(F.col("part") == p), longest), f"counts-{p}")
+    for p in range(0, parts, TOGETHER):
+        own = [paths.where(F.col("part") == i) for i in range(p, min(p + TOGETHER, parts))]
+        own = materialize(counted(texts, seed, own, longest), f"counts-{p}")
         found = own if found is None else found.unionByName(own)
     phrases = materialize(paths.join(found, "key").where(F.col("n") >= least).select("path", "n"), "phrases")
     left = scored(phrases, frequent, scale).join(uncovered(phrases, percent), "path")

@@ -104,15 +104,16 @@ class Trie:
         self._grow(self._top + offsets[-1] + 1)
         return self._top - int(words[0])
 
-    def follow(self, hashes: np.ndarray, piece: np.ndarray):
+    def follow(self, hashes: np.ndarray, number: np.ndarray, piece: np.ndarray):
         """For each level the accepted phrases: all positions of a text advance together, one word a level.
 
-        ``piece`` numbers the piece of each word; no phrase goes beyond its piece. Yields arrays of phrase numbers.
+        The text's words are ``hashes[number]``; ``piece`` numbers the piece of each, and no phrase goes beyond its
+        piece. Yields arrays of phrase numbers.
         """
-        if not len(self.words) or not len(hashes):
+        if not len(self.words) or not len(number):
             return
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        word = np.where(self.words[at] == hashes, at, -1)
+        word = np.where(self.words[at] == hashes, at, -1)[number]
         place = np.flatnonzero(word >= 0)
         place = place[self.check[word[place]] == _ROOT]
         state = word[place]
