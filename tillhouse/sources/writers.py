@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.operators.expectations import Suite, failing_examples
 from tillhouse.operators.upsert import upsert_by_key
+from tillhouse.sources import versions
+from tillhouse.sources.versions import KEEP_VERSIONS, Version, read_version, write_version  # noqa: F401
 
 log = logging.getLogger(__name__)
 
@@ -48,53 +49,20 @@ def write_bronze_csv(df: DataFrame, root: str, entity: str) -> None:
 
 
 # --- versioned tables -----------------------------------------------------------------------------
-# A table that is rewritten from itself goes to a new version folder. A version counts once its folder holds
-# the marker of a finished write, and readers take the newest such one: nothing is ever replaced in place.
-
-KEEP_VERSIONS = 3  # finished versions that stay, for readers that still hold an older one
-
-
-def _versions(spark: SparkSession, root: str) -> tuple[list[str], list[str]]:
-    """All version folders and the finished ones, oldest first."""
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    files = at(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(at(root)):
-        return [], []
-    folders = sorted(s.getPath().getName() for s in files.listStatus(at(root)) if s.isDirectory())
-    folders = [name for name in folders if name.startswith("v")]
-    return folders, [name for name in folders if files.exists(at(f"{root}/{name}/_SUCCESS"))]
-
-
-def read_version(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest finished version, or None when nothing was ever written."""
-    folders, finished = _versions(spark, root)
-    if folders and not finished:
-        raise RuntimeError(f"{root} holds versions, but none of them was finished")
-    return spark.read.parquet(f"{root}/{finished[-1]}") if finished else None
-
-
-def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = (), keep: int = KEEP_VERSIONS) -> str:
-    """Write the next version; all but the newest ``keep`` finished ones are removed afterwards."""
-    if keep < 1:
-        raise ValueError("the newest version has to stay")
-    version = "v" + datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{root}/{version}")
-    spark = df.sparkSession
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    for old in _versions(spark, root)[1][:-keep]:
-        at(root).getFileSystem(spark._jsc.hadoopConfiguration()).delete(at(f"{root}/{old}"), True)
-    return version
 
 
 def upsert_table(updates: DataFrame, root: str, keys: Sequence[str], columns: Sequence[str], like: DataFrame | None = None) -> None:
-    """Upsert into a versioned table, creating it from the updates the first time."""
-    table = read_version(updates.sparkSession, root)
-    if table is None:
-        table = (like if like is not None else updates).limit(0)
-    write_version(upsert_by_key(table, updates, keys, columns), root)
+    """Upsert into a versioned table, creating it from the updates the first time.
+
+    When two writers meet, the later one upserts again into what the earlier one committed.
+    """
+    spark = updates.sparkSession
+
+    def change(base: Version | None) -> Version:
+        table = (like if like is not None else updates).limit(0) if base is None else versions.read(spark, root, base)
+        return Version(0, [versions.write_folder(upsert_by_key(table, updates, keys, columns), root)])
+
+    versions.update(spark, root, change)
 
 
 # --- ingest ledger and retention ------------------------------------------------------------------
