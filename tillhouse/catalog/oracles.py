@@ -286,6 +286,12 @@ FINALS["stream_event_rate_5m"] = f"""
 FINALS["ingest_once"] = """
     SELECT DISTINCT strftime(date, '%Y%m') AS drop_id FROM r_inventory
     WHERE strftime(date, '%Y%m') NOT IN (SELECT strftime(order_date, '%Y%m') FROM r_orders)"""
+FINALS["load_drops"] = """
+    SELECT 'orders' AS entity, strftime(order_date, '%Y') AS drop_id, 'first' AS run_id, count(*) AS rows FROM r_orders GROUP BY 2"""
+FINALS["retention_log"] = f"""
+    SELECT event_type, {day('event_timestamp::date')} AS date, CASE WHEN event_timestamp::date < {RUN_DATE} - 7 THEN 'removed' ELSE 'kept' END AS state,
+           CASE WHEN event_timestamp::date < {RUN_DATE} - 7 THEN 0 ELSE count(*) END AS rows
+    FROM r_bronze GROUP BY event_type, event_timestamp::date"""
 FINALS["expire_partitions"] = f"""
     SELECT {day('event_timestamp::date')} AS date, count(*) AS rows FROM r_bronze
     WHERE event_timestamp::date < {RUN_DATE} - 7 GROUP BY 1"""
@@ -415,14 +421,12 @@ FINALS["inventory_velocity"] = """
 
 
 def _snapshot(at: str) -> str:
-    """Customers with an order in the year before ``at`` and their totals up to then."""
+    """All customers with their totals up to ``at``."""
     return f"""
         SELECT customer_id, hashed_email, tier, registration_date, coalesce(n, 0) AS total_orders, coalesce(cents, 0) AS spent
         FROM r_customers LEFT JOIN (
             SELECT customer_id, count(*) AS n, cast(sum(amount_cents) AS bigint) AS cents FROM r_orders
-            WHERE status <> 'placed' AND order_date < DATE '{at}' GROUP BY 1) USING (customer_id)
-        WHERE customer_id IN (SELECT customer_id FROM r_orders
-                              WHERE order_date < DATE '{at}' AND order_date >= DATE '{at}' - INTERVAL 1 YEAR)"""
+            WHERE status <> 'placed' AND order_date < DATE '{at}' GROUP BY 1) USING (customer_id)"""
 
 
 _FIRST, _SECOND = "1998-01-01", "2000-01-01"
@@ -673,6 +677,20 @@ def _constraints() -> str:
 
 
 FINALS["staging_constraints"] = _constraints()
+FINALS["constraint_loads"] = """
+    , t AS (
+        SELECT 'events' AS table_name, 'unique:event_id' AS key_rule, false AS bad_quantity, false AS bad_amount,
+               cast(regexp_extract(event_id, '[0-9]+$') AS bigint) % 2 = 0 AS taken FROM r_events
+        UNION ALL SELECT 'customers', 'unique:customer_id', false, false, cast(regexp_extract(customer_id, '[0-9]+$') AS bigint) % 2 = 0 FROM r_customers
+        UNION ALL SELECT 'products', 'unique:product_id', false, false, cast(regexp_extract(product_id, '[0-9]+$') AS bigint) % 2 = 0 FROM r_products
+        UNION ALL SELECT 'orders', 'unique:order_line_id', quantity <= 0, amount_cents < 1 OR amount_cents > 5000000,
+               cast(regexp_extract(order_id, '[0-9]+$') AS bigint) % 2 = 0 FROM r_orders
+        UNION ALL SELECT 'inventory', 'unique:snapshot_date,product_id,warehouse_region', false, false,
+               cast(regexp_extract(product_id, '[0-9]+$') AS bigint) % 2 = 0 FROM r_inventory)
+    SELECT table_name, 'loaded' AS rule, count(*) FILTER (NOT bad_quantity AND NOT bad_amount AND NOT taken) AS rows FROM t GROUP BY 1
+    UNION ALL SELECT table_name, key_rule, count(*) FROM t WHERE NOT bad_quantity AND NOT bad_amount AND taken GROUP BY 1, 2
+    UNION ALL SELECT table_name, 'check:quantity_positive', count(*) FROM t WHERE bad_quantity GROUP BY 1
+    UNION ALL SELECT table_name, 'check:order_amount_in_range', count(*) FROM t WHERE bad_amount GROUP BY 1"""
 FINALS["assert_gmv_positive"] = """
     SELECT order_id, amount_cents / 100.0 AS order_amount FROM r_orders WHERE amount_cents <= 0 AND status <> 'returned'"""
 FINALS["assert_reorder_matches"] = """

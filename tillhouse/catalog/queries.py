@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.functions.exprs import month_start
-from tillhouse.operators import conform, history, ingest, keys, privacy, rules, upsert
+from tillhouse.operators import conform, constraints, ingest, keys, privacy, rules, upsert
 from tillhouse.operators.dedup import dedup_events, dedup_latest
 from tillhouse.operators.expectations import run_suite, summarize
 from tillhouse.plans import checkpoints, marts, ops, serving, staging, star
@@ -21,7 +21,7 @@ from tillhouse.plans import table_tests as declared_tests
 from tillhouse.schemas import CUSTOMER_TIERS
 from tillhouse.session import configure, materialize, scratch_path
 from tillhouse.sources import driver_tables as given
-from tillhouse.sources import writers
+from tillhouse.sources import history_table, ledger, retention, versions, writers
 from tillhouse.streaming import bronze as streams
 from tillhouse.streaming import rates
 
@@ -264,6 +264,32 @@ def ingest_once(r: Retail) -> DataFrame:
     return writers.ingest_once(drops, ledger)
 
 
+@query
+def load_drops(r: Retail) -> DataFrame:
+    """The orders in drops of a year, offered twice; the ledger lets each in once."""
+    root, orders = scratch_path(r.spark, "drops"), materialize(r.typed("orders"), "orders")
+    year = F.date_format("order_date", "yyyy")
+    drops = {y["y"]: orders.where(year == y["y"]) for y in orders.select(year.alias("y")).distinct().collect()}
+    for run_id in ("first", "second"):
+        ledger.load_drops(root, "orders", drops, run_id)
+    inside = ledger.loaded(r.spark, root, "orders", orders.schema).groupBy(year.alias("drop_id")).agg(F.count("*").alias("rows"))
+    return ledger.ledger(r.spark, root).select("entity", "drop_id", "run_id").join(inside, "drop_id")
+
+
+@query
+def retention_log(r: Retail) -> DataFrame:
+    """What retention removed and kept of the event folders."""
+    root, log = scratch_path(r.spark, "kept"), scratch_path(r.spark, "retention")
+    stored = ingest.with_bronze_partition(r.bronze("events")).select("event_id", "event_type", "date")
+    stored.write.partitionBy("event_type", "date").parquet(root)
+    retention.remove_expired(r.spark, root, EVENT_RUN_DATE, log, RUN_ID)
+    gone = versions.read_version(r.spark, log).where("removed_at IS NOT NULL")
+    parts = F.split("folder", "[=/]")
+    gone = gone.select(parts[1].alias("event_type"), F.col("day").alias("date"), F.lit("removed").alias("state"), F.lit(0).cast("bigint").alias("rows"))
+    left = r.spark.read.parquet(root).groupBy("event_type", "date").agg(F.count("*").alias("rows"))
+    return gone.unionByName(left.withColumn("state", F.lit("kept")))
+
+
 @query
 def expire_partitions(r: Retail) -> DataFrame:
     stored = ingest.with_bronze_partition(r.bronze("events"))
@@ -462,15 +488,21 @@ def inventory_velocity(r: Retail) -> DataFrame:
 
 @query
 def scd2_customers(r: Retail) -> DataFrame:
-    """History of the customers active in the year before each of two days."""
-    versions = None
-    for day in HISTORY_DATES:
-        orders = r.view("orders").where(F.col("order_date") < F.lit(day).cast("date"))
-        recent = orders.where(F.col("order_date") >= F.add_months(F.lit(day).cast("date"), -12)).select("customer_id").distinct()
-        active = star.customer_rows(r.view("customers"), orders).join(recent, "customer_id", "left_semi")
-        versions = history.empty_history(active) if versions is None else versions
-        versions = materialize(history.apply_snapshot(versions, active, "customer_id", ("tier", "total_spent", "total_orders"), day), "history")
-    return versions
+    """History of all customers with their totals before each of two days, from orders that are read once."""
+    progressed = F.col("status") != "placed"
+    before = [progressed & (F.col("order_date") < F.lit(day).cast("date")) for day in HISTORY_DATES]
+    sums = [f for i, test in enumerate(before) for f in (F.count_if(test).alias(f"n{i}"), F.sum(F.when(test, F.col("order_amount"))).alias(f"s{i}"))]
+    totals = r.view("orders").groupBy("customer_id").agg(*sums)
+    rows = materialize(r.view("customers").join(totals, "customer_id", "left"), "totals")
+    root = scratch_path(r.spark, "history")
+    for i, day in enumerate(HISTORY_DATES):
+        current = rows.select(
+            "customer_id", "hashed_email", "tier", "registration_date",
+            F.coalesce(f"n{i}", F.lit(0)).alias("total_orders"),
+            F.coalesce(f"s{i}", F.lit(0).cast("decimal(22,2)")).alias("total_spent"),
+        )
+        history_table.snapshot(current, root, "customer_id", ("tier", "total_spent", "total_orders"), day)
+    return history_table.read_history(r.spark, root)
 
 
 @query
@@ -684,6 +716,21 @@ def staging_constraints(r: Retail) -> DataFrame:
     return rules.staging_constraints({name: r.staged(name) for name in staging.STAGE})
 
 
+@query
+def constraint_loads(r: Retail) -> DataFrame:
+    """Every staging table loaded whole, after the rows with an even number were loaded before: what gets in, and what does not and why."""
+    numbered = {"events": "event_id", "customers": "customer_id", "products": "product_id", "orders": "order_line_id", "inventory": "product_id"}
+    out = None
+    for name, key in numbered.items():
+        rows = r.staged(name)
+        even = F.regexp_extract(key, "[0-9]+$", 0).cast("bigint") % 2 == 0
+        done = constraints.enforce(rows, name, before=rows.where(even))
+        counts = done.loaded.agg(F.lit("loaded").alias("rule"), F.count("*").alias("rows")).unionByName(done.counts())
+        counts = counts.select(F.lit(name).alias("table_name"), "rule", "rows")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 @query
 def assert_gmv_positive(r: Retail) -> DataFrame:
     return rules.assert_gmv_positive(r.view("orders")).select("order_id", "order_amount")

@@ -1,7 +1,8 @@
 """One run over all layers: Bronze, Silver, gate, staging, star schema, tests, history, run log.
 
-Folders below the root: ``bronze`` (stream events below ``bronze/events``, batch drops below
-``bronze/batch``), ``silver``, ``staging``, ``gold``, ``marts``, ``audit``. Running a day again replaces what it wrote.
+Folders below the root: ``landing/<table>/<drop>`` (CSV drops that wait), ``bronze`` (stream events below ``bronze/events``, drops
+that the ledger lists below ``bronze/data``, or plain drops below ``bronze/batch``), ``silver``, ``staging``, ``gold``,
+``marts``, ``audit``. Running a day again replaces what it wrote.
 """
 
 from __future__ import annotations
@@ -15,19 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillhouse.operators import conform, history, privacy, rules
+from tillhouse.operators import conform, constraints, privacy, rules
 from tillhouse.plans import checkpoints, marts, staging, star, table_tests
-from tillhouse.schemas import RUN_LOG
+from tillhouse.schemas import BRONZE_CSV, RUN_LOG
 from tillhouse.session import configure
-from tillhouse.sources.readers import read_bronze_csv, read_bronze_events, read_or_empty, read_silver
-from tillhouse.sources.writers import (
-    load_staging,
-    read_version,
-    upsert_table,
-    write_table,
-    write_validation,
-    write_version,
-)
+from tillhouse.sources import history_table, ledger, retention
+from tillhouse.sources.files import Files
+from tillhouse.sources.readers import read_bronze_csv, read_bronze_events, read_csv_folder, read_or_empty, read_silver
+from tillhouse.sources.writers import load_staging, upsert_table, write_table, write_validation
 
 log = logging.getLogger(__name__)
 
@@ -77,12 +73,43 @@ def log_stage(run: Run, stage: str, started: datetime, status: str, **values: ob
     upsert_table(update, run.path("audit", "run_log"), ["run_id", "stage"], ("end_time", "status", *values))
 
 
+# --- ingest and retention -------------------------------------------------------------------------
+
+
+def run_ingest(run: Run) -> dict[str, list[str]]:
+    """Load every drop of the landing folder that the ledger does not list yet; returns the drops loaded per table."""
+    started, landing, done = datetime.now(timezone.utc), Files(run.spark, run.path("landing")), {}
+    try:
+        for table in BRONZE_CSV:
+            waiting = {e.name: read_csv_folder(run.spark, f"{landing.root}/{e.path}", table) for e in landing.list(table) if e.is_folder}
+            done[table] = ledger.load_drops(run.path("bronze"), table, waiting, run.run_id)
+    except Exception:
+        log_stage(run, "ingest", started, "failed")
+        raise
+    log_stage(run, "ingest", started, "success", records_processed=sum(map(len, done.values())))
+    return done
+
+
+def run_retention(run: Run, keep_days: int = retention.KEEP_DAYS) -> list[retention.Expired]:
+    """Remove the Bronze days that have left the retention period; ``audit/retention`` says which went."""
+    started = datetime.now(timezone.utc)
+    try:
+        gone = list(retention.remove_expired(run.spark, run.path("bronze", "events"), run.run_date, run.path("audit", "retention"), run.run_id, keep_days))
+    except Exception:
+        log_stage(run, "retention", started, "failed")
+        raise
+    log_stage(run, "retention", started, "success", records_processed=len(gone))
+    return gone
+
+
 # --- Silver ---------------------------------------------------------------------------------------
 
 
 def _bronze(run: Run, table: str) -> DataFrame:
     if table == "events":
         return read_bronze_events(run.spark, run.path("bronze", "events"), run.run_date)
+    if Files(run.spark, run.path("bronze")).exists(f"ledger/{table}"):
+        return ledger.loaded(run.spark, run.path("bronze"), table, BRONZE_CSV[table])
     return read_bronze_csv(run.spark, run.path("bronze"), table)
 
 
@@ -188,15 +215,22 @@ def run_quality(run: Run, now: Column | None = None) -> DataFrame:
 
 
 def run_staging(run: Run) -> dict[str, bool]:
-    """Load the five staging tables, each on its own; an empty source keeps the old table."""
-    started, loaded, failed = datetime.now(timezone.utc), {}, []
+    """Load the five staging tables, each on its own; an empty source keeps the old table.
+
+    Constraints hold on load: rows that break one go to ``audit/quarantine`` with the names of the rules they break.
+    """
+    started, loaded, failed, kept_out = datetime.now(timezone.utc), {}, [], 0
     for table, stage in staging.STAGE.items():
         try:
-            loaded[table] = load_staging(stage(silver_table(run, table)), run.path("staging", table))
+            split = constraints.enforce(stage(silver_table(run, table)), table)
+            aside = run.path("audit", "quarantine") + f"/table_name={table}/pipeline_run_id={run.run_id}"
+            write_table(split.quarantined, aside)
+            kept_out += run.spark.read.parquet(aside).count()
+            loaded[table] = load_staging(split.loaded, run.path("staging", table))
         except Exception:
             log.exception("staging table %s failed", table)
             failed.append(table)
-    log_stage(run, "staging", started, "failed" if failed else "success", tables_failed=len(failed))
+    log_stage(run, "staging", started, "failed" if failed else "success", records_failed=kept_out, tables_failed=len(failed))
     if failed:
         raise StageFailed("staging tables failed: " + ", ".join(failed))
     return loaded
@@ -206,9 +240,15 @@ def views(run: Run) -> dict[str, DataFrame]:
     return {name: view(run.read("staging", name)) for name, view in staging.VIEW.items()}
 
 
-def run_gold(run: Run, first_day: str, last_day: str) -> None:
-    """Dimensions, facts and marts in dependency order, each stored before the next one reads it."""
+def run_gold(run: Run, first_day: str | None = None, last_day: str | None = None) -> None:
+    """Dimensions, facts and marts in dependency order, each stored before the next one reads it.
+
+    The calendar covers the days of the staged orders, snapshots and events where no bound is given.
+    """
     stg = views(run)
+    if first_day is None or last_day is None:
+        low, high = star.calendar_bounds(stg)
+        first_day, last_day = first_day or low, last_day or high
 
     def store(layer: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         write_table(build(), run.path(layer, name))
@@ -264,21 +304,17 @@ def require_tests(results: DataFrame) -> None:
         raise TableTestsFailed("failed table tests: " + ", ".join(sorted(".".join(filter(None, r)) for r in failing)))
 
 
-def run_snapshot(run: Run, at: str) -> None:
-    """Bring the customer history up to date with the customer dimension."""
+def run_snapshot(run: Run, at: str) -> list[int]:
+    """Bring the customer history up to date with the customer dimension; only buckets with a change are written."""
     current = run.read("gold", "dim_customers").drop("customer_key")
-    root = run.path("gold", "customer_history")
-    past = read_version(run.spark, root)
-    if past is None:
-        past = history.empty_history(current)
-    else:  # a partition column comes back as text
-        past = past.withColumn("is_current", F.col("is_current").cast("boolean")).select(*current.columns, *history.VERSION_COLUMNS)
-    # partitioned by is_current, so that the next snapshot opens only the open versions
-    write_version(history.apply_snapshot(past, current, "customer_id", HISTORY_CHECKS, at), root, ["is_current"])
+    return history_table.snapshot(current, run.path("gold", "customer_history"), "customer_id", HISTORY_CHECKS, at)
 
 
-def run_all(run: Run, first_day: str, last_day: str, now: Column | None = None, snapshot_at: str | None = None) -> DataFrame:
+def run_all(
+    run: Run, first_day: str | None = None, last_day: str | None = None, now: Column | None = None, snapshot_at: str | None = None
+) -> DataFrame:
     """All stages in order; returns the table test results. A failing stage or table test stops the run and is logged."""
+    run_ingest(run)
     run_silver(run)
     run_quality(run, now)
     run_staging(run)
@@ -294,4 +330,5 @@ def run_all(run: Run, first_day: str, last_day: str, now: Column | None = None,
         log_stage(run, "gold", started, "failed")
         raise
     log_stage(run, "gold", started, "success")
+    run_retention(run)
     return results

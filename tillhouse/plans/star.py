@@ -6,6 +6,8 @@ after a table add the dense key, which writes the table once (see ``operators.ke
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,16 @@ def dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
     return date_spine(_days(bounds))
 
 
+def calendar_bounds(views: Mapping[str, DataFrame]) -> tuple[str, str]:
+    """First and last day of the staged orders, snapshots and events; one row per table reaches the driver."""
+    days = {"orders": F.col("order_date"), "inventory": F.col("inventory_date"), "events": F.col("event_timestamp").cast("date")}
+    ends = [views[t].agg(F.min(d).cast("string"), F.max(d).cast("string")).first() for t, d in days.items()]
+    lows, highs = [e[0] for e in ends if e[0]], [e[1] for e in ends if e[1]]
+    if not lows:
+        raise ValueError("no dated rows, so no calendar")
+    return min(lows), max(highs)
+
+
 def dim_date_of(df: DataFrame, column: str) -> DataFrame:
     """Calendar that covers every date of a table."""
     return date_spine(_days(df.agg(F.min(column).alias("first_day"), F.max(column).alias("last_day"))))

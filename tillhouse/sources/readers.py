@@ -43,8 +43,11 @@ def read_bronze_events(spark: SparkSession, root: str, day: str, event_types: Se
 
 def read_bronze_csv(spark: SparkSession, root: str, entity: str) -> DataFrame:
     """A batch drop with a header row; every column stays text."""
+    return read_csv_folder(spark, f"{root}/batch/{entity}", entity)
+
+
+def read_csv_folder(spark: SparkSession, path: str, entity: str) -> DataFrame:
     schema = BRONZE_CSV[entity]
-    path = f"{root}/batch/{entity}"
     return read_or_empty(
         spark, schema, lambda: spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
     )
