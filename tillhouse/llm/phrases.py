@@ -31,12 +31,12 @@ from tillhouse.llm.trie import Trie
 from tillhouse.session import materialize
 
 U = np.uint64
-SLICE = 4 << 20  # bytes of text looked at together
+SLICE = 2 << 20  # bytes of text looked at together
 PART_PHRASES = 1 << 18  # in one trie
-TOGETHER = 8  # tries that one scan of the texts follows
+TOGETHER = 4  # tries that one scan of the texts follows
 RANGE = 1 << 16  # phrase counts that are added up together
 BITS = 27  # of the bit table's index
-HELD_WORDS = 1 << 20  # distinct words a task holds before it passes their counts on
+HELD_WORDS = 1 << 19  # distinct words a task holds before it passes their counts on
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 
 
