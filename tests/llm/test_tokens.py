@@ -18,7 +18,6 @@ SF = "/root/testdata/sf0.001"
 
 def plain(texts):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -31,21 +30,70 @@ def test_encoder_equals_the_library():
         assert encode(texts[i : i + 700]) == plain(texts[i : i + 700])
 
 
+def test_a_special_token_in_a_text_is_what_the_library_makes_of_it():
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "plain words here", "hello <|endoftext|> world, and more words"]
+    encode = tokens.Encoder(PATH)
+    assert encode.added and encode(texts) == plain(texts)
+
+
 def test_grammar_round_trip_and_random_access():
+    """Ids 0 stand inside documents as well as at their ends."""
     rng = np.random.default_rng(1)
-    docs = [np.append(rng.integers(1, 6, rng.integers(0, 400)), 0).astype("<u4") for _ in range(300)]
+    docs = [np.append(rng.integers(0, 6, rng.integers(0, 400)), 0).astype("<u4") for _ in range(300)]
+    docs[5], docs[6] = np.array([0], "<u4"), np.array([0, 0, 0], "<u4")
     ids = np.concatenate(docs)
-    symbols, rules, lengths, base = tokens.repair(ids, frequent=300)
-    assert len(rules) and len(symbols) < len(ids)
-    assert (tokens.expand(symbols, rules, base) == ids).all()
+    ends = np.cumsum([len(d) for d in docs]) - 1
+    symbols, rules, lengths, base = tokens.repair(ids, ends)
+    assert len(rules) and len(symbols) < len(ids) / 2
+    whole = tokens.expand(symbols, rules, base)
+    assert (np.flatnonzero(whole == base - 1) == ends).all()
+    assert (np.where(whole == base - 1, 0, whole) == ids).all()
     for k in range(len(rules)):
         assert len(tokens.expand(np.array([base + k]), rules, base)) == lengths[k]
+    pairs = symbols[:-1].astype(np.int64) << 32 | symbols[1:]
+    pairs = pairs[(symbols[:-1] != base - 1) & (symbols[1:] != base - 1) & (symbols[:-1] != symbols[1:])]
+    assert np.unique(pairs, return_counts=True)[1].max() < tokens.LEAST  # no pair is left that would make a rule
     shard = tokens.Shard(tokens.pack_shard(list(range(300)), [d.tobytes() for d in docs]))
-    for i in (0, 7, 299):
+    for i in range(300):
         assert (shard.document(i) == docs[i]).all()
+        lo, hi = sorted(rng.integers(0, len(docs[i]) + 2, 2).tolist())
+        assert (shard.part(i, lo, hi) == docs[i][lo:hi]).all()
     assert (shard.documents() == ids).all()
 
 
+def test_exclamation_marks_do_not_end_documents():
+    texts = ["wow! that", "second doc", "third", "!", "", "!!! no! end!"]
+    codes = [c + b"\0\0\0\0" for c in plain(texts)]
+    assert b"\0\0\0\0" in codes[0][:-4]  # the mark is id 0
+    shard = tokens.Shard(tokens.pack_shard(list(range(len(texts))), codes))
+    assert [shard.document(i).astype("<u4").tobytes() for i in range(len(texts))] == codes
+
+
+def test_documents_of_a_table_by_random_access(spark, tmp_path):
+    """Every document of the table, read alone from its shard, has the library's ids."""
+    rows = [(r[0], r[1]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    tokens.write_shards(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), PATH, str(tmp_path / "shards"))
+    want = dict(zip([d for d, _ in rows], [c + b"\0\0\0\0" for c in plain([t for _, t in rows])]))
+    seen = 0
+    for r in spark.read.parquet(str(tmp_path / "shards")).collect():
+        shard = tokens.Shard(bytes(r["payload"]))
+        for i, d in enumerate(shard.doc_ids.tolist()):
+            assert shard.document(i).astype("<u4").tobytes() == want[d]
+            seen += 1
+    assert seen == len(rows)
+
+
+def test_a_passage_is_compressed_in_a_full_shard():
+    """The rule for stopping does not depend on the size of the shard."""
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, 50_000, tokens.SHARD_TOKENS).astype(np.uint32)
+    passage = rng.integers(0, 50_000, 300).astype(np.uint32)
+    for at in range(400):
+        ids[at * 2600 : at * 2600 + 300] = passage
+    symbols, rules, lengths, base = tokens.repair(ids, np.array([len(ids) - 1]))
+    assert len(symbols) < len(ids) - 400 * 280 and lengths.max() > 64
+
+
 def rows_of(spark):
     return [(r[0], r[1]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
 

@@ -1,8 +1,9 @@
 """Token ids as grammar-compressed shards, written as a table and read back.
 
 Every shard holds whole documents in ascending id order. Re-Pair shortens its ids: the frequent pairs of neighbouring ids are
-replaced by new symbols, again and again until no pair is frequent. The rules, the length each symbol expands to and the
-place of each document are stored, so one document can be decoded without its neighbours.
+replaced by new symbols, again and again until none occurs ``LEAST`` times, however large the shard. The end of a document is a
+symbol of its own (id 0 also stands inside texts), and no rule spans it. The rules, the length each symbol expands to and the
+place of each document are stored, so a document, or any range of its ids, is decoded without the rest.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from tillhouse.session import scratch_path
 
 END = 0
 SHARD_TOKENS = 1 << 20
-FREQUENT = 1 << 11  # a pair is frequent when it makes up one in this many ids of its shard
+LEAST = 4  # occurrences at which a pair becomes a rule
 _CACHED = 1 << 20
 _TOGETHER = 1 << 22  # letters of the texts that are looked up together
 _SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"  # fixed values: white space of ASCII but blank and line feed
@@ -44,7 +45,8 @@ class Encoder:
 
     A byte-level vocabulary splits a text before it merges bytes: no token joins a blank to the word before it, a single
     line feed stands alone, and a full stop or comma behind letters does too. So texts are taken apart there, the distinct
-    words in between are looked up, and new ones are encoded together. Special tokens in a text are ordinary text.
+    words in between are looked up, and new ones are encoded together. A text that holds an added token of the vocabulary is
+    encoded as it is.
     """
 
     def __init__(self, path: str) -> None:
@@ -52,7 +54,7 @@ class Encoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each id: one letter of a token is one byte
         letters = set(ByteLevel.alphabet())
@@ -110,7 +112,7 @@ class Encoder:
         held: list[int] = []
         size = 0
         for i, t in enumerate(texts):
-            if not is_plain(t):
+            if not is_plain(t) or any(a in t for a in self.added):
                 out[i] = self._encode(t)
                 continue
             held.append(i)
@@ -130,17 +132,18 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def repair(ids: np.ndarray, end: int = END, frequent: int = FREQUENT) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def repair(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Grammar of ``ids``: the shortened sequence, the rules, the length each rule expands to, and the first rule's symbol.
 
-    Every round replaces all pairs that are frequent at its start; where two overlap, the first in a row of them wins.
-    No pair spans the end of a document.
+    The ids at the places ``ends`` become the symbol before the first rule's; no pair holds it. Every round replaces all pairs
+    that occur ``least`` times at its start; where two overlap, the first in a row of them wins.
     """
     s = ids.astype(np.uint32)
-    base = int(s.max()) + 1 if len(s) else 1
+    end = np.uint32(int(s.max()) + 1 if len(s) else 0)
+    s[ends] = end
+    base = int(end) + 1
     rules, lengths = [np.zeros((0, 2), np.uint32)], [np.zeros(0, np.int64)]
     made = 0
-    least = max(4, len(s) // frequent)
     at = np.flatnonzero((s[:-1] != end) & (s[1:] != end))
     pairs = ((s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:])[at]
     while len(at):
@@ -197,17 +200,23 @@ def expand(s: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
         s = out
 
 
+def symbol_lengths(s: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    """How many ids each symbol stands for."""
+    return np.concatenate((np.ones(1, np.int64), lengths.astype(np.int64)))[np.maximum(s.astype(np.int64) - base + 1, 0)]
+
+
 def pack_shard(doc_ids: list, encoded: list[bytes]) -> bytes:
     """One shard: document ids, ids per document, place of each document among the symbols, rules, lengths, symbols."""
     ids = np.frombuffer(b"".join(encoded), "<u4")
-    s, rules, lengths, base = repair(ids)
+    n = np.array([len(e) // 4 for e in encoded], np.int64)
+    s, rules, lengths, base = repair(ids, np.cumsum(n) - 1)
     small = np.uint16 if base + len(rules) <= 1 << 16 else np.uint32
-    places = np.append(0, np.flatnonzero(s == END) + 1)
+    places = np.searchsorted(np.cumsum(symbol_lengths(s, lengths, base)), np.cumsum(n) - n, side="right")
     return pack_arrays(
         np.array([d is not None for d in doc_ids], bool),
         np.array([0 if d is None else d for d in doc_ids], np.int64),
-        np.array([len(e) // 4 for e in encoded], np.int64),
-        places[:-1].astype(np.int64),
+        n,
+        places.astype(np.int64),
         np.array([base, small().itemsize], np.int64),
         rules.astype(small),
         lengths.astype(np.uint32),
@@ -225,13 +234,32 @@ class Shard:
         rules, self.lengths, self.symbols = unpack_arrays(payload, bool, np.int64, np.int64, np.int64, np.int64, kind, np.uint32, kind)[5:]
         self.rules = rules.reshape(-1, 2)
 
+    def _ids(self, symbols: np.ndarray) -> np.ndarray:
+        out = expand(symbols, self.rules, self.base)
+        out[out == self.base - 1] = END
+        return out
+
+    def _symbols(self, i: int) -> np.ndarray:
+        end = self.places[i + 1] if i + 1 < len(self.places) else len(self.symbols)
+        return self.symbols[self.places[i] : end]
+
     def document(self, i: int) -> np.ndarray:
         """Ids of document ``i``, its end included."""
-        end = self.places[i + 1] if i + 1 < len(self.places) else len(self.symbols)
-        return expand(self.symbols[self.places[i] : end], self.rules, self.base)
+        return self._ids(self._symbols(i))
+
+    def part(self, i: int, start: int, stop: int) -> np.ndarray:
+        """Ids ``start`` to ``stop`` of document ``i``: only the symbols that stand for them are expanded."""
+        symbols = self._symbols(i)
+        ends = np.cumsum(symbol_lengths(symbols, self.lengths, self.base))
+        start, stop = max(start, 0), min(stop, int(ends[-1]))
+        if start >= stop:
+            return np.zeros(0, np.uint32)
+        lo, hi = int(np.searchsorted(ends, start, side="right")), int(np.searchsorted(ends, stop, side="left")) + 1
+        before = int(ends[lo - 1]) if lo else 0
+        return self._ids(symbols[lo:hi])[start - before : stop - before]
 
     def documents(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.base)
+        return self._ids(self.symbols)
 
 
 def write_shards(docs: DataFrame, tokenizer: str, path: str, text: str = "text", doc_id: str = "doc_id") -> None:
