@@ -14,6 +14,7 @@ from tillhouse.llm.repeats import Units, document_ids, find_repeats
 
 WIDTH = 50
 SEED = 24
+COMPARED = 1 << 20  # bytes of spans that are compared at once
 
 
 def byte_units(table: pa.Table, text: str, doc_id: str) -> tuple[Units, np.ndarray]:
@@ -25,7 +26,8 @@ def byte_units(table: pa.Table, text: str, doc_id: str) -> tuple[Units, np.ndarr
 def spans(first: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Positions of all units of the given spans, one span after the other."""
     total = int(length.sum())
-    return np.arange(total) + np.repeat(first - (np.cumsum(length) - length), length)
+    kind = np.int32 if total < 1 << 31 and (not len(first) or int((first + length).max()) < 1 << 31) else np.int64
+    return np.arange(total, dtype=kind) + np.repeat((first - (np.cumsum(length) - length)).astype(kind), length)
 
 
 def array_repeats(payloads: list[bytes], width: int) -> list[np.ndarray]:
@@ -80,10 +82,16 @@ def same_spans(hashes: np.ndarray, raw: np.ndarray, length: np.ndarray, width: i
     first[order] = order[new][np.cumsum(new) - 1]
     at = np.cumsum(length) - length
     other = np.flatnonzero(first != np.arange(len(first)))
-    differs = raw[spans(at[other], length[other])] != raw[spans(at[first[other]], length[other])]
-    if differs.any():
-        wrong = np.unique(np.repeat(other, length[other])[differs])
-        first[wrong] = wrong
+    size = np.cumsum(length[other])
+    lo = 0
+    while lo < len(other):  # a block of bytes at a time, as copies may be many times the distinct bytes
+        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + COMPARED, side="right")))
+        own = other[lo:hi]
+        differs = raw[spans(at[own], length[own])] != raw[spans(at[first[own]], length[own])]
+        if differs.any():
+            wrong = np.unique(np.repeat(own, length[own])[differs])
+            first[wrong] = wrong
+        lo = hi
     return first
 
 
@@ -92,7 +100,8 @@ def dedup_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
 
     Adds ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept`` (the remaining bytes) to the rows of
     ``docs``, and leaves out the text; columns of these names in the input are replaced. With ``as_text`` the
-    text column stays and holds the remaining bytes as text; characters that lost some of their bytes are left out.
+    text column stays in place of ``kept`` and holds the remaining bytes as text; characters that lost some of their
+    bytes are left out.
 
     Null text has no bytes. A null id counts as smaller than any other. Rows with the same id never remove
     from each other. Strings are judged on the input, and a text shorter than ``width`` keeps all its bytes.
@@ -100,7 +109,7 @@ def dedup_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
     replaced = [c for c in docs.columns if c.lower() in ("n_bytes", "n_removed", "n_spans", "kept")]
     docs = docs.drop(*replaced)
     out_fields = [f for f in docs.schema.fields if as_text or f.name != text]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out_fields] + ["n_bytes long", "n_removed long", "n_spans long", "kept binary"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out_fields] + ["n_bytes long", "n_removed long", "n_spans long"] + ["kept binary"] * (not as_text))
 
     def finish(table: pa.Table, units: Units, buf: np.ndarray, gone: np.ndarray) -> pa.Table:
         bounds = units.bounds
@@ -116,9 +125,10 @@ def dedup_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
         columns = {f.name: table[f.name] for f in out_fields}
         if as_text:
             was = table[text].is_valid().to_pylist()
-            columns[text] = pa.array([b.decode("utf-8", "ignore") if v else None for b, v in zip(kept.to_pylist(), was)], pa.string())
+            texts = [pa.array([b.decode("utf-8", "ignore") if v else None for b, v in zip(kept[i : i + 256].to_pylist(), was[i : i + 256])], pa.string()) for i in range(0, len(was), 256)]
+            columns[text] = pa.chunked_array(texts, pa.string())
         columns |= {"n_bytes": pa.array(np.diff(bounds)), "n_removed": pa.array(n_removed), "n_spans": pa.array(opened[bounds[1:]] - opened[bounds[:-1]])}
-        return pa.table(columns | {"kept": kept.cast(pa.binary())})
+        return pa.table(columns if as_text else columns | {"kept": kept.cast(pa.binary())})
 
     return find_repeats(
         docs,
