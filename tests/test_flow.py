@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import os
+import pathlib
 import re
+import shutil
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -13,10 +15,10 @@ from pyspark.sql import functions as F
 from collected import rows
 from tillhouse.catalog.queries import QUERIES
 from tillhouse.operators import conform, ingest
-from tillhouse.plans import checkpoints, medallion, ops
+from tillhouse.plans import checkpoints, medallion, ops, star
 from tillhouse.schemas import BRONZE_CSV, EVENT
 from tillhouse.sources import driver_tables as given
-from tillhouse.sources import readers, writers
+from tillhouse.sources import ledger, readers, versions, writers
 from tillhouse.streaming import bronze as streams
 from tillhouse.streaming import rates
 
@@ -224,13 +226,75 @@ def test_run_twice_changes_nothing(spark, bronze_root):
     history = writers.read_version(spark, f"{bronze_root}/gold/customer_history")
     assert history.count() == len(first["gold/dim_customers"]) and history.select("valid_from").distinct().count() == 1
     log = writers.read_version(spark, f"{bronze_root}/audit/run_log")
-    assert rows(log, "stage", "status", "quality_passed") == [("gold", "success", None), ("quality", "success", True), ("silver", "success", None), ("staging", "success", None)]
+    assert rows(log, "stage", "status", "quality_passed") == [
+        ("gold", "success", None), ("ingest", "success", None), ("quality", "success", True), ("retention", "success", None), ("silver", "success", None), ("staging", "success", None),
+    ]
+    days = {p.name for kind in os.listdir(f"{bronze_root}/bronze/events") if "=" in kind for p in pathlib.Path(f"{bronze_root}/bronze/events/{kind}").iterdir()}
+    assert min(days) == "date=2024-01-08" and f"date={DAY}" in days
+    gone = versions.read_version(spark, f"{bronze_root}/audit/retention")
+    assert gone.count() > 0 and gone.where("day >= DATE '2024-01-08' OR removed_at IS NULL").count() == 0
     silver = log.where("stage = 'silver'").first()
     assert silver["pii_events_masked"] == pii and silver["records_processed"] > 4000
     assert ops.last_success(ops.run_view(log)).first()["run_id"] == "run-1"
     assert spark.read.parquet(f"{bronze_root}/audit/validation").count() == 5
 
 
+def test_violating_drops_leave_gold_unchanged(spark, bronze_root, tmp_path):
+    """Rows that break a check or repeat a key reach the quarantine with the rule's name, and no dimension, fact or mart."""
+    root = str(tmp_path / "lake")
+    for layer in ("silver", "staging", "gold", "marts"):
+        shutil.copytree(f"{bronze_root}/{layer}", f"{root}/{layer}")
+    before, run = layers(spark, root), medallion.start_run(spark, root, "run-5", DAY)
+    good = {t: spark.read.parquet(medallion.silver_path(run, t)) for t in medallion.TABLES}
+    first = {t: df.limit(3) for t, df in good.items()}
+    bad = {
+        "orders": first["orders"].withColumn("order_id", F.concat(F.lit("X"), "order_id")).withColumn("quantity", F.lit(0)).unionByName(first["orders"]),
+        "customers": first["customers"].unionByName(first["customers"].withColumn("customer_id", F.lit(None).cast("string"))),
+        "products": first["products"], "inventory": first["inventory"],
+    }
+    for table in medallion.TABLES:
+        path = medallion.silver_path(run, table)
+        if table != "events":  # one file after those that are there: the rows loaded first win
+            bad[table].coalesce(1).write.parquet(str(tmp_path / table))
+            shutil.copy(next((tmp_path / table).glob("*.parquet")), f"{path}/part-99999-late.parquet")
+    medallion.run_staging(run)
+    medallion.run_gold(run, "1995-01-01", "2024-12-31")
+    assert layers(spark, root) == before
+    aside = lambda t: spark.read.parquet(f"{root}/audit/quarantine/table_name={t}/pipeline_run_id=run-5")
+    rules = {t: sorted(r["rule"] for r in aside(t).select(F.explode("broken_rules").alias("rule")).collect()) for t in medallion.TABLES}
+    assert rules["orders"] == ["check:quantity_positive"] * 3 + ["unique:order_line_id"] * 3
+    assert rules["customers"] == ["not_null:customer_id"] * 3 + ["unique:customer_id"] * 3
+    assert rules["products"] == ["unique:product_id"] * 3 and rules["events"] == []
+    assert rules["inventory"] == ["unique:snapshot_date,product_id,warehouse_region"] * 3
+    log = writers.read_version(spark, f"{root}/audit/run_log").where("stage = 'staging'").first()
+    assert (log["status"], log["records_failed"]) == ("success", 18)
+
+
+def test_landing_drops_are_loaded_once(spark, sf, tmp_path):
+    run = medallion.start_run(spark, str(tmp_path), "run-6", DAY)
+    products = given.as_bronze(given.products(spark, sf))
+    for n, part in enumerate(products.randomSplit([1.0, 1.0], 3)):
+        part.write.option("header", True).csv(f"{tmp_path}/landing/products/drop-{n}")
+    assert medallion.run_ingest(run)["products"] == ["drop-0", "drop-1"]
+    assert medallion.run_ingest(run) == {t: [] for t in BRONZE_CSV}
+    assert rows(medallion._bronze(run, "products")) == rows(products)
+    assert ledger.ledger(spark, run.path("bronze")).count() == 2
+    assert medallion._bronze(run, "orders").count() == 0  # no ledger: the plain drop, which is not there
+    log = writers.read_version(spark, f"{tmp_path}/audit/run_log").first()
+    assert (log["stage"], log["status"]) == ("ingest", "success")
+
+
+def test_calendar_comes_from_the_data(spark, bronze_root):
+    run = medallion.start_run(spark, bronze_root, "run-7", DAY)
+    stg = medallion.views(run)
+    days = stg["orders"].select(F.col("order_date").alias("d")).unionByName(stg["inventory"].select(F.col("inventory_date").alias("d")))
+    days = days.unionByName(stg["events"].select(F.col("event_timestamp").cast("date").alias("d")))
+    low, high = days.agg(F.min("d").cast("string"), F.max("d").cast("string")).first()
+    assert star.calendar_bounds(stg) == (low, high) and high == DAY
+    with pytest.raises(ValueError, match="no dated rows"):
+        star.calendar_bounds({t: df.limit(0) for t, df in stg.items()})
+
+
 def test_gate_stops_the_run(spark, bronze_root):
     run = medallion.start_run(spark, bronze_root, "run-2", "2024-01-03")
     medallion.run_silver(run)

@@ -554,6 +554,7 @@ FINALS["latest_return_kpi"] = f"""
            sum(returned_orders)::double / sum(total_orders)::double AS return_rate
     FROM r_returns WHERE period_date = (SELECT max(period_date) FROM r_returns) GROUP BY r_returns.period_date"""
 FINALS["paged"] = "SELECT product_id, product_name FROM r_products ORDER BY product_id LIMIT 1000 OFFSET 1000"
+FINALS["paged_seek"] = FINALS["paged"]
 
 # --- data quality ---------------------------------------------------------------------------------
 

@@ -23,7 +23,7 @@ from tillhouse.session import configure, materialize, scratch_path
 from tillhouse.sources import driver_tables as given
 from tillhouse.sources import history_table, ledger, retention, versions, writers
 from tillhouse.streaming import bronze as streams
-from tillhouse.streaming import rates
+from tillhouse.streaming import dedup_index, rates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +32,6 @@ EVENT_RUN_DATE = "2024-01-30"
 EVENT_CLOSE = f"{EVENT_RUN_DATE} 23:59:59"
 HISTORY_DATES = ("1998-01-01", "2000-01-01")
 RUN_ID = "run-2024-01-30"
-STREAM_SPAN = "60 days"  # longer than the event table, so that no event counts as late
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -243,8 +242,10 @@ def pin_event_date(r: Retail) -> DataFrame:
 
 @query
 def stream_dedup_events(r: Retail) -> DataFrame:
-    unique = streams.stream_dedup_events(r.timed_stream(), lateness=STREAM_SPAN).select("event_id", "event_type", "customer_id")
-    return r.drain(unique, "dedup")
+    """First arrivals by a stored index of keys: the stream keeps no state."""
+    out, events = scratch_path(r.spark, "dedup"), r.timed_stream()
+    dedup_index.stream_dedup(events, out, scratch_path(r.spark, "dedup-index"), scratch_path(r.spark, "dedup-state"), bounded=True).awaitTermination()
+    return dedup_index.deduplicated(r.spark, out, events.schema).select("event_id", "event_type", "customer_id")
 
 
 @query
@@ -644,6 +645,14 @@ def paged(r: Retail) -> DataFrame:
     return serving.paged(r.view("products").select("product_id", "product_name"), "product_id", page=1)
 
 
+@query
+def paged_seek(r: Retail) -> DataFrame:
+    """Second page of the products, continued behind the last key of the first on a table stored in key order."""
+    stored = serving.store_sorted(r.view("products").select("product_id", "product_name"), scratch_path(r.spark, "pages"), "product_id")
+    last = serving.page_after(stored, "product_id").agg(F.max("product_id")).first()[0]
+    return serving.page_after(stored, "product_id", last)
+
+
 # --- data quality ---------------------------------------------------------------------------------
 
 

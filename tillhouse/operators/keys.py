@@ -4,40 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.session import materialize
+from tillhouse.session import scratch_path
+from tillhouse.sources.keyed import write_keyed
 
-_POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row position in its low 33 bits
 
-
-def dense_key(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
+def dense_key(df: DataFrame, order_by: Sequence[str], key: str, leave_out: Sequence[str] = (), path: str | None = None) -> DataFrame:
     """Number the rows 1..n in ``order_by`` without sorting the table in one task.
 
-    The rows are range-partitioned and sorted in parallel, then written once with their chunk and
-    position, so that a task that runs again after a lost executor cannot move rows between chunks.
-    Chunk start offsets come from one count per chunk. A hash of the other columns splits a value that
-    repeats very often over several chunks.
+    The rows are range-partitioned, sorted in parallel and written once, to ``path`` where the table is to stay or else to a scratch
+    folder; a row's number follows from its file and its place there. Stored rows cannot move when a task runs again.
     """
-    rest = [c for c in df.columns if c not in order_by]
-    order = [*order_by, F.xxhash64(*rest)] if rest else list(order_by)
-    sorted_rows = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_chunk", F.spark_partition_id())
-        .withColumn("_position", F.monotonically_increasing_id().bitwiseAND(_POSITION_BITS))
-    )
-    rows = materialize(sorted_rows, key)
-    earlier = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)  # one row per chunk
-    starts = (
-        rows.groupBy("_chunk")
-        .agg(F.count("*").alias("_rows"))
-        .select("_chunk", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    )
-    # starts has one row per shuffle partition, so its size is bounded by the cluster settings
-    numbered = rows.join(F.broadcast(starts), "_chunk")
-    return numbered.select((F.col("_start") + F.col("_position") + 1).alias(key), *df.columns)
+    return write_keyed(df, path or scratch_path(df.sparkSession, key), order_by, key, leave_out)
 
 
 def hash_key(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:

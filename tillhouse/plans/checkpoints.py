@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.operators.expectations import (
@@ -22,6 +23,7 @@ from tillhouse.operators.expectations import (
     unique,
 )
 from tillhouse.schemas import CUSTOMER_TIERS, EVENT_TYPES
+from tillhouse.sources.files import Files
 
 # Suite parameters.
 HEX_DIGEST = "^[a-f0-9]{64}$"
@@ -153,13 +155,42 @@ def source_freshness(
     parts = []
     for name, df in staged.items():
         parts.append(df.agg(F.max(loaded_at).cast("timestamp").alias("max_loaded_at")).select(F.lit(name).alias("table_name"), "max_loaded_at"))
+    return _freshness(reduce(DataFrame.unionByName, parts), now, warn_hours, error_hours)
+
+
+def file_freshness(
+    spark: SparkSession, paths: Mapping[str, str], now: Column, warn_hours: int = SOURCE_WARN_HOURS, error_hours: int = SOURCE_ERROR_HOURS
+) -> DataFrame:
+    """``source_freshness`` from the times at which the tables' files were written: no column is read, no job runs.
+
+    A table without files has no load time, which is an error.
+    """
+    rows = [(name, newest_file(Files(spark, path))) for name, path in paths.items()]
+    return _freshness(spark.createDataFrame(rows, "table_name string, max_loaded_at timestamp"), now, warn_hours, error_hours)
+
+
+def newest_file(files: Files) -> datetime | None:
+    """When the newest data file of a table was written; side files and hidden ones do not count."""
+    newest, open_ = None, [""]
+    while open_:
+        for e in files.list(open_.pop()):
+            if e.name.startswith((".", "_")):
+                continue
+            if e.is_folder:
+                open_.append(e.path)
+            else:
+                newest = max(newest or 0, e.changed_ms)
+    return None if newest is None else datetime.fromtimestamp(newest / 1000, timezone.utc)
+
+
+def _freshness(loaded: DataFrame, now: Column, warn_hours: int, error_hours: int) -> DataFrame:
     age = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds("max_loaded_at")
     state = (
         F.when(F.col("age_seconds").isNull() | (F.col("age_seconds") > error_hours * 3600), "error")
         .when(F.col("age_seconds") > warn_hours * 3600, "warn")
         .otherwise("pass")
     )
-    return reduce(DataFrame.unionByName, parts).withColumn("age_seconds", age).withColumn("state", state)
+    return loaded.withColumn("age_seconds", age).withColumn("state", state)
 
 
 def checkpoint_summary(results: DataFrame, freshness: DataFrame | None = None) -> DataFrame:

@@ -22,6 +22,7 @@ from tillhouse.schemas import BRONZE_CSV, RUN_LOG
 from tillhouse.session import configure
 from tillhouse.sources import history_table, ledger, retention
 from tillhouse.sources.files import Files
+from tillhouse.sources.keyed import read_keyed
 from tillhouse.sources.readers import read_bronze_csv, read_bronze_events, read_csv_folder, read_or_empty, read_silver
 from tillhouse.sources.writers import load_staging, upsert_table, write_table, write_validation
 
@@ -144,7 +145,8 @@ def _write_silver(run: Run, table: str) -> dict[str, int]:
             masked.unpersist()
     else:
         write_table(clear, silver_path(run, table))
-    return {"rows_in": bronze.count(), "rows_out": silver_table(run, table).count(), "pii": pii}
+    stored = read_or_empty(run.spark, StructType(), lambda: silver_table(run, table))
+    return {"rows_in": bronze.count(), "rows_out": stored.count(), "pii": pii}
 
 
 def run_silver(run: Run) -> dict[str, dict[str, int] | str]:
@@ -256,27 +258,45 @@ def run_gold(run: Run, first_day: str | None = None, last_day: str | None = None
 
     dates = store("gold", "dim_date", lambda: star.dim_date(run.spark, first_day, last_day))
     store("gold", "dim_geography", lambda: star.dim_geography(run.spark))
-    customers = store("gold", "dim_customers", lambda: star.dim_customers(stg["customers"], stg["orders"]))
-    products = store("gold", "dim_products", lambda: star.dim_products(stg["products"]))
-    store("gold", "fact_orders", lambda: star.fact_orders(stg["orders"], customers, products, dates))
-    store("gold", "fact_events", lambda: star.fact_events(stg["events"], customers, products, dates))
+    # these are written once, in the order of their keys
+    customers = star.dim_customers(stg["customers"], stg["orders"], run.path("gold", "dim_customers"))
+    products = star.dim_products(stg["products"], run.path("gold", "dim_products"))
+    star.fact_orders(stg["orders"], customers, products, dates, run.path("gold", "fact_orders"))
+    star.fact_events(stg["events"], customers, products, dates, run.path("gold", "fact_events"))
     velocity = store("gold", "inventory_velocity", lambda: star.inventory_velocity(stg["orders"], dates))
-    store("gold", "fact_inventory_snapshots", lambda: star.fact_inventory_snapshots(stg["inventory"], velocity, products, dates))
+    star.fact_inventory_snapshots(stg["inventory"], velocity, products, dates, run.path("gold", "fact_inventory_snapshots"))
     store("marts", "mart_sales_summary", lambda: marts.mart_sales_summary(stg["orders"], customers, products, dates))
     store("marts", "mart_return_rates", lambda: marts.mart_return_rates(stg["orders"], products, dates))
     store("marts", "mart_customer_cohorts", lambda: marts.mart_customer_cohorts(stg["orders"], customers, dates))
     store("marts", "mart_inventory_alerts", lambda: marts.mart_inventory_alerts(stg["inventory"], velocity, products, dates))
 
 
+KEYED = {
+    "dim_customers": "customer_key", "dim_products": "product_key", "fact_orders": "order_key", "fact_events": "event_key",
+    "fact_inventory_snapshots": "snapshot_key",
+}
 GOLD = ("dim_customers", "dim_products", "dim_date", "fact_orders", "fact_events", "fact_inventory_snapshots")
 MARTS = ("mart_sales_summary", "mart_return_rates", "mart_customer_cohorts", "mart_inventory_alerts")
 
 
+def gold_table(run: Run, table: str) -> DataFrame:
+    """A dimension or fact with its surrogate key."""
+    return read_keyed(run.spark, run.path("gold", table), KEYED[table]) if table in KEYED else run.read("gold", table)
+
+
+def run_source_freshness(run: Run, now: Column) -> DataFrame:
+    """How old the staging tables are, by the times their files were written; ``audit/source_freshness`` keeps the run's rows."""
+    found = checkpoints.file_freshness(run.spark, {t: run.path("staging", t) for t in TABLES}, now)
+    path = run.path("audit", "source_freshness") + f"/run_id={run.run_id}"
+    write_table(found, path)
+    return run.spark.read.parquet(path)
+
+
 def run_tests(run: Run) -> DataFrame:
     """Results of every declared table test and singular test over the stored tables."""
     stg = views(run)
     tables = {f"stg_{name}": df for name, df in stg.items()}
-    tables |= {name: run.read("gold", name) for name in GOLD} | {name: run.read("marts", name) for name in MARTS}
+    tables |= {name: gold_table(run, name) for name in GOLD} | {name: run.read("marts", name) for name in MARTS}
     results = rules.run_table_tests(tables, **table_tests.for_tables(tables))
     singular = {
         "gmv_positive": ("fact_orders", rules.assert_gmv_positive(tables["fact_orders"])),
@@ -306,7 +326,7 @@ def require_tests(results: DataFrame) -> None:
 
 def run_snapshot(run: Run, at: str) -> list[int]:
     """Bring the customer history up to date with the customer dimension; only buckets with a change are written."""
-    current = run.read("gold", "dim_customers").drop("customer_key")
+    current = run.read("gold", "dim_customers")  # as stored: the key is not part of the history
     return history_table.snapshot(current, run.path("gold", "customer_history"), "customer_id", HISTORY_CHECKS, at)
 
 
@@ -318,6 +338,7 @@ def run_all(
     run_silver(run)
     run_quality(run, now)
     run_staging(run)
+    run_source_freshness(run, F.current_timestamp())
     started = datetime.now(timezone.utc)
     outcome = run.path("audit", "table_tests") + f"/run_id={run.run_id}"
     try:

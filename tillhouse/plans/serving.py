@@ -195,6 +195,25 @@ def latest_return_kpi(returns: DataFrame) -> DataFrame:
     return summed.select("period_date", "returned_orders", rate.alias("return_rate"))
 
 
+SEEK_BLOCK_BYTES = 1 << 20  # small row groups, so that little is read besides a page
+
+
 def paged(df: DataFrame, key: str, page: int, size: int = 1000) -> DataFrame:
     """One page in key order, for a client that cannot take the whole table."""
     return df.orderBy(key).offset(page * size).limit(size)
+
+
+def store_sorted(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Store a table in key order: files hold ranges of the key, and their row groups say which."""
+    df.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").option("parquet.block.size", SEEK_BLOCK_BYTES).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def page_after(sorted_table: DataFrame, key: str, after: object = None, size: int = 1000) -> DataFrame:
+    """The page behind the last key of the page before (None: the first), for a key without repeats.
+
+    The bound reaches the scan, which skips files and row groups below it, and the limit keeps the smallest keys of each task:
+    no page gathers the rows before it.
+    """
+    rest = sorted_table if after is None else sorted_table.where(F.col(key) > F.lit(after))
+    return rest.orderBy(key).limit(size)

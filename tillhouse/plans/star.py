@@ -1,7 +1,7 @@
 """Star schema: dimensions and facts.
 
 The ``*_rows`` functions give a table without its surrogate key and stay lazy. The functions named
-after a table add the dense key, which writes the table once (see ``operators.keys``).
+after a table add the dense key, which writes the table once (see ``operators.keys``): to ``path``, if it is to stay.
 """
 
 from __future__ import annotations
@@ -97,12 +97,12 @@ def product_rows(products: DataFrame) -> DataFrame:
     )
 
 
-def dim_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
-    return dense_key(customer_rows(customers, orders), ["customer_id"], "customer_key")
+def dim_customers(customers: DataFrame, orders: DataFrame, path: str | None = None) -> DataFrame:
+    return dense_key(customer_rows(customers, orders), ["customer_id"], "customer_key", path=path)
 
 
-def dim_products(products: DataFrame) -> DataFrame:
-    return dense_key(product_rows(products), ["product_id"], "product_key")
+def dim_products(products: DataFrame, path: str | None = None) -> DataFrame:
+    return dense_key(product_rows(products), ["product_id"], "product_key", path=path)
 
 
 # --- facts ----------------------------------------------------------------------------------------
@@ -130,8 +130,8 @@ def order_fact_rows(orders: DataFrame, customers: DataFrame, products: DataFrame
     )
 
 
-def fact_orders(orders: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
-    return dense_key(order_fact_rows(orders, customers, products, dates), ["order_id"], "order_key")
+def fact_orders(orders: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame, path: str | None = None) -> DataFrame:
+    return dense_key(order_fact_rows(orders, customers, products, dates), ["order_id"], "order_key", path=path)
 
 
 def event_fact_rows(events: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
@@ -144,9 +144,9 @@ def event_fact_rows(events: DataFrame, customers: DataFrame, products: DataFrame
     )
 
 
-def fact_events(events: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
+def fact_events(events: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame, path: str | None = None) -> DataFrame:
     rows = event_fact_rows(events, customers, products, dates)
-    return dense_key(rows, ["event_timestamp", "event_id"], "event_key")
+    return dense_key(rows, ["event_timestamp", "event_id"], "event_key", path=path)
 
 
 def inventory_velocity(orders: DataFrame, dates: DataFrame) -> DataFrame:
@@ -195,10 +195,10 @@ def inventory_fact_rows(inventory: DataFrame, velocity: DataFrame, products: Dat
 
 
 def fact_inventory_snapshots(
-    inventory: DataFrame, velocity: DataFrame, products: DataFrame, dates: DataFrame
+    inventory: DataFrame, velocity: DataFrame, products: DataFrame, dates: DataFrame, path: str | None = None
 ) -> DataFrame:
     rows = inventory_fact_rows(inventory, velocity, products, dates)
-    return dense_key(rows, ["product_id", "date_key"], "snapshot_key").drop("product_id")
+    return dense_key(rows, ["product_id", "date_key"], "snapshot_key", leave_out=["product_id"], path=path)
 
 
 # --- backfills ------------------------------------------------------------------------------------

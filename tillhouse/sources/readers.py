@@ -16,14 +16,14 @@ log = logging.getLogger(__name__)
 
 
 def read_or_empty(spark: SparkSession, schema: StructType, load: Callable[[], DataFrame]) -> DataFrame:
-    """The loaded table, or an empty one of that schema when its path does not exist.
+    """The loaded table, or an empty one of that schema when its path does not exist or holds no file.
 
-    Only a missing path counts as empty; every other failure is raised.
+    A partitioned table without rows is a folder without files. Every other failure is raised.
     """
     try:
         return load()
     except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         log.warning("no input: %s", problem.getMessage())
         return spark.createDataFrame([], schema)
