@@ -27,8 +27,8 @@ from tillhouse.session import scratch_path
 END = 0
 SHARD_TOKENS = 1 << 20
 LEAST = 4  # occurrences at which a pair becomes a rule
-_CACHED = 1 << 20
-_TOGETHER = 1 << 22  # letters of the texts that are looked up together
+_CACHED = 1 << 19
+_TOGETHER = 1 << 21  # letters of the texts that are looked up together
 _SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"  # fixed values: white space of ASCII but blank and line feed
 
 
