@@ -7,6 +7,7 @@ engine can compare them cell by cell. The operators themselves keep dates, times
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,9 +130,11 @@ class Retail:
 
     # Audit ----------------------------------------------------------------------------------------
 
-    def event_audit(self) -> DataFrame:
-        """PII log of the events, stamped with the event's own time."""
-        return privacy.pii_audit_rows(self.clear("events"), RUN_ID, masked_at=F.col("event_timestamp"))
+    def audit(self) -> DataFrame:
+        """PII log of all masked tables, stamped with the day or time that each row itself carries."""
+        times = {"events": "event_timestamp", "customers": "registration_date", "orders": "order_date"}
+        logs = [privacy.pii_audit_rows(self.clear(name), RUN_ID, masked_at=F.col(time).cast("timestamp")) for name, time in times.items()]
+        return reduce(DataFrame.unionByName, logs)
 
     def run_log(self) -> DataFrame:
         """One ingest row per order day: amounts above the staging limit fail, and too many fail the run."""
@@ -152,12 +155,11 @@ class Retail:
         )
 
     def validation_log(self) -> DataFrame:
-        """The order and inventory suites evaluated per month."""
-        orders = self.silver("orders").withColumn("month", month_start("order_date"))
-        stock = self.silver("inventory").withColumn("month", month_start("date"))
-        results = run_suite(orders, checkpoints.SUITES["orders"], by=["month"]).unionByName(
-            run_suite(stock, checkpoints.SUITES["inventory"], by=["month"])
-        )
+        """The four gated suites evaluated per month; customers without a first order count to January 1970."""
+        days = {"events": "event_timestamp", "customers": "registration_date", "orders": "order_date", "inventory": "date"}
+        never = F.lit("1970-01-01").cast("date")
+        months = {n: self.silver(n).withColumn("month", F.coalesce(month_start(d), never)) for n, d in days.items()}
+        results = reduce(DataFrame.unionByName, [run_suite(df, checkpoints.SUITES[n], by=["month"]) for n, df in months.items()])
         return summarize(results, by=["month"]).select(
             F.concat(F.lit("run-"), F.date_format("month", "yyyyMM")).alias("pipeline_run_id"),
             "checkpoint_name", "suite_name", "success", "evaluated_expectations", "successful_expectations",
@@ -341,7 +343,8 @@ def silver_drop_counts(r: Retail) -> DataFrame:
 
 @query
 def cast_failures(r: Retail) -> DataFrame:
-    return conform.cast_failures(r.bronze("customers"), "customers")
+    found = [conform.cast_failures(r.bronze(name), name).select(F.lit(name).alias("table_name"), "*") for name in conform.SPECS]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -378,13 +381,12 @@ def pii_mask_orders(r: Retail) -> DataFrame:
 
 @query
 def pii_audit_rows(r: Retail) -> DataFrame:
-    tables = [privacy.pii_audit_rows(r.clear(name), RUN_ID, masked_at=F.lit(None).cast("timestamp")) for name in ("customers", "events")]
-    return tables[0].unionByName(tables[1]).drop("masked_at")
+    return r.audit().drop("masked_at")
 
 
 @query
 def pii_masked_count(r: Retail) -> DataFrame:
-    return privacy.masked_count(r.event_audit())
+    return privacy.masked_count(r.audit())
 
 
 @query
@@ -508,12 +510,10 @@ def scd2_customers(r: Retail) -> DataFrame:
 
 @query
 def upsert_by_key(r: Retail) -> DataFrame:
-    """The run log after the quality stage has set its verdict for the runs of the last year."""
+    """The run log after the quality stage has set its verdict for every run that processed anything but failures."""
     log = r.run_log()
-    last = log.select(F.max("start_time")).scalar()
-    verdicts = log.where(F.col("start_time") > F.add_months(last, -12)).select(
-        "run_id", (F.col("records_failed") * 2 <= F.col("records_processed")).alias("quality_passed"), F.lit("quality").alias("stage")
-    )
+    judged = log.where(F.col("records_failed") < F.col("records_processed"))
+    verdicts = judged.select("run_id", (F.col("records_failed") * 2 <= F.col("records_processed")).alias("quality_passed"), F.lit("quality").alias("stage"))
     return upsert.upsert_by_key(log, verdicts, ["run_id"], ["quality_passed"])
 
 
@@ -579,7 +579,7 @@ def sales_by_category(r: Retail) -> DataFrame:
 
 @query
 def home_kpis(r: Retail) -> DataFrame:
-    return serving.home_kpis(r.sales(), r.alerts())
+    return serving.home_kpis(r.stored("sales"), r.stored("alerts"))
 
 
 @query
@@ -682,10 +682,11 @@ def freshness_check(r: Retail) -> DataFrame:
 @query
 def source_freshness(r: Retail) -> DataFrame:
     """Age of the newest row of each staging table at the end of the last event day."""
-    loaded = {
-        "events": r.staged("events").select(F.col("event_timestamp").alias("_silver_loaded_at")),
-        "orders": r.staged("orders").select(F.col("order_date").alias("_silver_loaded_at")),
-    }
+    at = {"events": "event_timestamp", "orders": "order_date", "customers": "registered_at", "inventory": "snapshot_date"}
+    loaded = {name: r.staged(name).select(F.col(c).alias("_silver_loaded_at")) for name, c in at.items()}
+    # a product carries no time: the last snapshot that lists it
+    listed = r.staged("inventory").join(r.staged("products").select("product_id"), "product_id", "left_semi")
+    loaded["products"] = listed.select(F.col("snapshot_date").alias("_silver_loaded_at"))
     return checkpoints.source_freshness(loaded, F.lit(EVENT_CLOSE))
 
 
@@ -713,16 +714,22 @@ def test_relationships(r: Retail) -> DataFrame:
 
 @query
 def table_tests(r: Retail) -> DataFrame:
+    """Every declared test over staging, dimensions, facts and marts; tables that several tests read are stored once."""
     names = ("customers", "products", "orders", "inventory", "events")
-    tables = {f"stg_{n}": r.view(n) for n in names}
-    tables["dim_date"] = r.dates()
-    tables["mart_inventory_alerts"] = r.alerts()
+    tables = {f"stg_{n}": r.view(n) for n in names} | {"dim_date": r.dates()}
+    tables["dim_customers"], tables["dim_products"] = r.dim_customers(), r.dim_products()
+    keyed = (tables["dim_customers"], tables["dim_products"], r.dates())
+    tables["fact_orders"] = star.fact_orders(r.view("orders"), *keyed)
+    tables["fact_events"] = star.fact_events(r.view("events"), *keyed)
+    tables["fact_inventory_snapshots"] = star.fact_inventory_snapshots(r.view("inventory"), r.velocity(), *keyed[1:])
+    marts_ = {"mart_sales_summary": "sales", "mart_return_rates": "returns", "mart_customer_cohorts": "cohorts", "mart_inventory_alerts": "alerts"}
+    tables |= {name: r.stored(build) for name, build in marts_.items()}
     return rules.run_table_tests(tables, **declared_tests.for_tables(tables))
 
 
 @query
 def staging_constraints(r: Retail) -> DataFrame:
-    return rules.staging_constraints({name: r.staged(name) for name in staging.STAGE})
+    return rules.staging_constraints({name: r.staged(name) for name in staging.STAGE} | {"run_log": r.run_log()})
 
 
 @query
@@ -830,22 +837,22 @@ def panel_totals(r: Retail) -> DataFrame:
 
 @query
 def pii_summary(r: Retail) -> DataFrame:
-    return ops.pii_summary(r.event_audit())
+    return ops.pii_summary(r.audit())
 
 
 @query
 def pii_totals(r: Retail) -> DataFrame:
-    return ops.pii_totals(r.event_audit())
+    return ops.pii_totals(r.audit())
 
 
 @query
 def pii_hourly_volume(r: Retail) -> DataFrame:
-    return ops.pii_hourly_volume(r.event_audit(), 7, as_of=F.lit(f"{EVENT_RUN_DATE} 12:00:00").cast("timestamp"))
+    return ops.pii_hourly_volume(r.audit(), 7, as_of=F.lit(f"{EVENT_RUN_DATE} 12:00:00").cast("timestamp"))
 
 
 @query
 def recent_pii_events(r: Retail) -> DataFrame:
-    return ops.recent_pii_events(r.event_audit(), 200)
+    return ops.recent_pii_events(r.audit(), 200)
 
 
 @query
@@ -860,7 +867,7 @@ def event_rate_1h(r: Retail) -> DataFrame:
 
 @query
 def pii_rate_1h(r: Retail) -> DataFrame:
-    return ops.pii_rate_1h(r.event_audit())
+    return ops.pii_rate_1h(r.audit())
 
 
 @query

@@ -134,10 +134,10 @@ def masked_count(audit: DataFrame) -> DataFrame:
 
 # Patterns for personal data in free text. They use neither look-around nor word boundaries, so that they
 # mean the same in every regex engine. An address starts where its run of characters starts, so that long junk stays cheap;
-# what stands before it is the first group.
+# what stands before it is the first group. Letters outside ASCII belong to the run.
 TEXT_PATTERNS = {
-    "email": r"(^|[^A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "card": r"[0-9]{4,}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4,}|[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{5}|[0-9]{13,}",
+    "email": r"(^|[\x00-\x24\x26-\x2A\x2C\x2F\x3A-\x40\x5B-\x5E\x60\x7B-\x7F])[^\x00-\x24\x26-\x2A\x2C\x2F\x3A-\x40\x5B-\x5E\x60\x7B-\x7F]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "card": r"[0-9]{4,}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4,}|[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{4,5}|[0-9]{13,}",
     "phone": r"(\+[0-9]{1,3}[ .-]?)?(\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}",
 }
 TEXT_MASKS = {"email": "[EMAIL]", "card": "[CARD]", "phone": "[PHONE]"}
