@@ -49,3 +49,23 @@ def test_scores_reach_their_limit(spark):
     # a change of at most t leaves at most t * 0.85 / 0.15 for later rounds here
     assert all(0 <= want[h] - got.get(h, 0.0) < 6e-4 for h in want)
     assert abs(got["h10"] - 0.15 * 0.85**10) < 1e-9 and abs(got["h14"] - 0.15 * 0.85**14) < 1e-9
+
+
+def test_sums_of_very_many_seeds_fit(spark):
+    """Seeds that add up to nearly 2^62 meet in one hub and in what it links to; a billion hosts get smaller units."""
+    assert urls.unit_for(0) == urls.unit_for(4_000_000) == urls.UNIT
+    assert urls.unit_for(10**9) * 10**9 < 1 << 62 and urls.unit_for(10**9) >= 10**8
+    n, seed = 200, (1 << 62) // 201
+    given = spark.createDataFrame([("k", f"h{i}", seed) for i in range(n)], "kind string, host string, seed long")
+    links = [("k", f"h{i}", "hub", 3) for i in range(n)] + [("k", "hub", "out", 1)]
+    got = {r["host"]: r["score"] for r in urls.propagate(given, spark.createDataFrame(links, "kind string, src string, dst string, n long"), seed // 10_000).collect()}
+    want = limit({f"h{i}": 1.0 for i in range(n)}, [e[1:] for e in links])
+    assert abs(got["hub"] / seed - want["hub"]) < 1e-3 and abs(got["out"] / seed - want["out"]) < 1e-3
+
+
+def test_repeated_rows_and_long_values(spark):
+    long = "http://x.example.net/es/" + "a" * 200_000
+    html = "<a href='http://y.org/'>" * 20_000
+    rows = [(1, long, html), (1, long, html), (2, "http://y.org/a", None), (2, "http://y.org/a", None), (None, None, None)]
+    got = sorted(((r["page_id"] or 0), r["rule"], r["verdict"]) for r in urls.judge_pages(spark.createDataFrame(rows, COLUMNS)).collect())
+    assert got == [(0, None, "allow"), (1, "net/es/", "block"), (1, "net/es/", "block"), (2, None, "allow"), (2, None, "allow")]

@@ -21,9 +21,10 @@ RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
-UNIT = 1_000_000_000_000
+UNIT = 1_000_000_000_000  # of one seeded host; smaller where so many are seeded that their sum would not fit into 62 bits
 DAMPING = 85  # percent that follows the links
-TOLERANCE = UNIT // 10_000  # no host's score changes by more in the last CUT rounds
+TOLERANCE = 10_000  # no host's score changes by more than one part in so many of a unit in the last CUT rounds
+LEAST = 20  # a host is blocked from one part in so many of a unit on
 CUT = 5  # rounds between two written tables
 # Second levels of two-letter domains below which names are registered (example.co.uk).
 SECOND_LEVELS = "ac|co|com|edu|go|gob|gov|gouv|ne|net|or|org"
@@ -78,7 +79,15 @@ def host_links(pages: DataFrame, html: str = "html") -> DataFrame:
     return links.unionByName(site).where("src <> dst").groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, tolerance: int = TOLERANCE, damping: int = DAMPING) -> DataFrame:
+def unit_for(hosts: int) -> int:
+    """The unit at which the scores of so many seeded hosts, which never exceed their seeds in sum, fit into 62 bits."""
+    unit = UNIT
+    while unit * hosts >= 1 << 62:
+        unit //= 10
+    return unit
+
+
+def propagate(seeds: DataFrame, links: DataFrame, tolerance: int = UNIT // TOLERANCE, damping: int = DAMPING) -> DataFrame:
     """Personalised PageRank of ``seeds`` (kind, host, seed) over ``links`` (kind, src, dst, n): ``kind, host, score``.
 
     Scores start as the part of the seeds that follows no links. Each round, ``damping`` percent of a host's score goes out in the
@@ -103,8 +112,8 @@ def propagate(seeds: DataFrame, links: DataFrame, tolerance: int = TOLERANCE, da
             return score
 
 
-def host_scores(pages: DataFrame, tolerance: int = TOLERANCE) -> DataFrame:
-    """``host, trust, distrust`` of every host with a score. ``pages`` has host, verdict (of the rules) and html.
+def host_scores(pages: DataFrame, tolerance: int = TOLERANCE) -> tuple[DataFrame, int]:
+    """``host, trust, distrust`` of every host with a score, and their unit. ``pages`` has host, verdict (of the rules) and html.
 
     Seeds: a host's share of allowed (blocked) pages, in units.
     """
@@ -112,18 +121,22 @@ def host_scores(pages: DataFrame, tolerance: int = TOLERANCE) -> DataFrame:
         F.count("*").alias("n"), F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block")
     )
     kinds = F.explode(F.array(F.struct(F.lit("trust").alias("kind"), F.col("allow").alias("k")), F.struct(F.lit("distrust").alias("kind"), F.col("block").alias("k")))).alias("s")
-    seeds = materialize(per.select("host", "n", kinds).where("s.k > 0").select("s.kind", "host", F.expr(f"{UNIT} * s.k div n").alias("seed")), "seeds")
+    shares = materialize(per.select("host", "n", kinds).where("s.k > 0").select("s.kind", "host", "s.k", "n"), "seeds")
+    unit = unit_for(shares.groupBy("kind").count().agg(F.max("count")).first()[0] or 0)
+    # a host may have more pages than leave room for the product
+    seeds = shares.select("kind", "host", F.expr(f"{unit} div n * k + {unit} % n * k div n").alias("seed"))
     links = materialize(host_links(pages), "links")
     both = links.select(F.lit("trust").alias("kind"), "src", "dst", "n").unionByName(links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
-    scores = propagate(seeds, both, tolerance)
-    return scores.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0)).alias("trust"), F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0)).alias("distrust"))
+    scores = propagate(seeds, both, max(1, unit // tolerance))
+    kind = lambda name: F.sum(F.when(F.col("kind") == name, F.col("score")).otherwise(0)).alias(name)
+    return scores.groupBy("host").agg(kind("trust"), kind("distrust")), unit
 
 
-def judge_pages(pages: DataFrame, url: str = "url", html: str = "html", rules: list[tuple[str, str, str]] = RULES, least: int = UNIT // 20, tolerance: int = TOLERANCE) -> DataFrame:
+def judge_pages(pages: DataFrame, url: str = "url", html: str = "html", rules: list[tuple[str, str, str]] = RULES, least: int = LEAST, tolerance: int = TOLERANCE) -> DataFrame:
     """``pages`` without its html, with ``host, path, rule, verdict, trust, distrust``; columns of these names are replaced.
 
-    The longest rule decides; where none fits, a host is blocked when its distrust is above its trust and at least ``least``
-    (units), else allowed. A null url, or one without ``://``, has an empty host and path, fits no rule and is allowed. Null html has
+    The longest rule decides; where none fits, a host is blocked when its distrust is above its trust and at least one part in
+    ``least`` of a unit, else allowed. A unit is 10^12, less a power of ten for very many seeded hosts (``unit_for``). A null url, or one without ``://``, has an empty host and path, fits no rule and is allowed. Null html has
     no links. Repeated rows count as pages of their own.
     """
     added = {"host", "path", "rule", "verdict", "trust", "distrust", "_host"}
@@ -132,7 +145,8 @@ def judge_pages(pages: DataFrame, url: str = "url", html: str = "html", rules: l
     parsed = pages.withColumns({"host": host, "path": path})
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     ruled = parsed.withColumns({"rule": rule, "verdict": verdict})
-    scores = materialize(host_scores(ruled.select("host", "verdict", F.col(html).alias("html")), tolerance), "hosts").withColumnRenamed("host", "_host")
+    scores, unit = host_scores(ruled.select("host", "verdict", F.col(html).alias("html")), tolerance)
+    scores = materialize(scores, "hosts").withColumnRenamed("host", "_host")
     joined = ruled.drop(html).join(scores, F.col("host") == F.col("_host"), "left").drop("_host").fillna(0, ["trust", "distrust"])
-    by_host = F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") >= least), "block").otherwise("allow")
+    by_host = F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") >= unit // least), "block").otherwise("allow")
     return joined.withColumn("verdict", F.coalesce("verdict", by_host))
