@@ -43,11 +43,12 @@ def test_probabilities_add_up(docs):
     import numpy as np
 
     # symbols seen in training, and one that stands for all others (hashes of all of them would meet some by chance)
-    probe = np.array(sorted({1, *map(ord, "abcd")}) + [5000], np.int64)
-    weight = np.array([1.0] * 5 + [(1 << langid.SYMBOL_BITS) - 5.0])
+    number = langid.symbol_table(model.letters)
+    probe = np.array(sorted({1, *(int(number[ord(c)]) for c in "abcd")}) + [5000], np.int64)
+    weight = np.array([1.0] * 5 + [langid.BASE - 5.0])
     for context in ("ab", "ba", "cd", "zz"):
-        key = (1 << 45) | (ord(context[0]) << 30) | (ord(context[1]) << 15)
-        total = (weight[:, None] * np.exp2(model.log_probability(key | probe).astype(float))).sum(axis=0)
+        key = (langid.BASE + int(number[ord(context[0])])) * langid.BASE + int(number[ord(context[1])])
+        total = (weight[:, None] * np.exp2(model.log_probability(key * langid.BASE + probe).astype(float))).sum(axis=0)
         assert (abs(total - 1) < 1e-3).all()
 
 
