@@ -103,3 +103,19 @@ def test_components(spark):
 def test_query_on_the_given_table(spark):
     rows = [(r[0], r[1]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, QUERIES["op7_near_dedup"](spark, "/root/testdata/sf0.001").collect())) == expected(rows)
+
+
+def test_recall_at_lower_limits(docs):
+    """Pairs just above the limit: a common beginning and two different ends."""
+    rng = random.Random(6)
+    for percent in (50, 60, 70, 80):
+        rows, words = [], 160
+        common = next(a for a in range(5, words) if 100 * (a - 4) >= percent * (2 * (words - 4) - (a - 4)))
+        for pair in range(80):
+            base = [f"b{pair}_{i}" for i in range(common)]
+            for side in (0, 1):
+                rows.append((2 * pair + side, " ".join(base + [f"e{rng.randrange(10**9)}" for _ in range(words - common)])))
+        got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs(rows), percent=percent).collect()}
+        found = sum(got[2 * p + 1] == 2 * p for p in range(80))
+        assert found >= 0.9 * 80 and all(got[2 * p] == 2 * p for p in range(80))
+        assert neardup.least_equal(percent / 100) <= neardup.MOST_EQUAL

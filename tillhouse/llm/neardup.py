@@ -11,6 +11,7 @@ What the trees join is then compared on full shingle sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,8 @@ U = np.uint64
 SHINGLE = 5
 TREES = 10
 SKETCH = 64
-LEAST_EQUAL = 36  # of the sketch, for a pair to be compared in full
+MOST_EQUAL = 36  # coordinates of the sketch that are asked for at most, for a pair to be compared in full
+MISSED = 1e-5  # share of the pairs at the limit that the sketches may miss
 NODE_ROWS = 2048
 BRANCHES = 2
 DEPTH = 8
@@ -39,6 +41,17 @@ def _salts(n: int) -> np.ndarray:
     return np.random.default_rng(7042024).integers(1, 2**63, n, dtype=np.uint64) * U(2) + U(1)
 
 
+def least_equal(share: float) -> int:
+    """How many coordinates of the sketch have to agree, so that at most ``MISSED`` of the pairs at similarity ``share`` have fewer."""
+    below, least = 0.0, 0
+    while least < MOST_EQUAL:
+        below += math.comb(SKETCH, least) * share**least * (1 - share) ** (SKETCH - least)
+        if below > MISSED:
+            break
+        least += 1
+    return least
+
+
 def shingle_sets(texts: pa.ChunkedArray, width: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; a text of fewer words is one shingle, one without words has none."""
     buf, bounds = kit.joined(texts, separator=True)
@@ -162,6 +175,7 @@ def split_blocks(rows: DataFrame, size: str, limit: int, id_col: str) -> DataFra
 
 def sketch_links(nodes: DataFrame, share: float) -> DataFrame:
     """Spanning links ``a, b`` of the pairs in each node whose sketches agree enough."""
+    least = least_equal(share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["node", "i", "j"]):
@@ -170,7 +184,7 @@ def sketch_links(nodes: DataFrame, share: float) -> DataFrame:
 
             def linked(i, others):
                 fits = (np.minimum(n[i], n[others]) >= share * np.maximum(n[i], n[others])) & (ids[others] != ids[i])
-                return fits & ((sketch[others] == sketch[i]).sum(axis=1) >= LEAST_EQUAL)
+                return fits & ((sketch[others] == sketch[i]).sum(axis=1) >= least)
 
             pairs = forest(len(ids), linked)
             if pairs:
