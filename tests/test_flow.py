@@ -13,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from collected import rows
+from tillhouse import run as cli
 from tillhouse.catalog.queries import QUERIES
 from tillhouse.operators import conform, ingest
 from tillhouse.plans import checkpoints, medallion, ops, star
@@ -126,6 +127,8 @@ def test_stream_to_bronze_resumes_without_loss_or_copies(spark, tmp_path):
     take()
     stored = readers.read_bronze_events(spark, f"{root}/events", DAY)
     assert rows(stored, "event_id", "event_type") == [("a", "order_placed"), ("c", "order_shipped"), ("d", "order_placed")]
+    written = [len([n for n in names if n.endswith(".json")]) for _, _, names in os.walk(f"{root}/events")]
+    assert max(written) == 1  # one file per type, day and batch
     assert rows(spark.read.json(f"{root}/quarantine"), "reject_reason") == [("malformed",), ("unknown:event_type",)]
     metrics = spark.read.parquet(f"{root}/metrics").groupBy("event_type").agg(F.sum("processed"), F.sum("failed"))
     assert rows(metrics) == [("order_placed", 2, 0), ("order_shipped", 1, 0), ("unknown", 0, 2)]
@@ -295,6 +298,31 @@ def test_calendar_comes_from_the_data(spark, bronze_root):
         star.calendar_bounds({t: df.limit(0) for t, df in stg.items()})
 
 
+def test_rows_outside_the_calendar_are_counted(spark, bronze_root):
+    run = medallion.start_run(spark, bronze_root, "run-8", DAY)
+    stg = medallion.views(run)
+    dates = star.dim_date(spark, "1995-01-01", "1996-12-31")
+    got = {r["table_name"]: (r["undated"], r["outside"]) for r in star.outside_calendar(stg, dates).collect()}
+    inside = stg["orders"].where("order_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'").count()
+    assert got["orders"] == (0, stg["orders"].count() - inside) and got["orders"][1] > 0
+    assert got["events"] == (0, stg["events"].count()) and got["inventory"][1] > 0
+    undated = stg | {"orders": stg["orders"].withColumn("order_date", F.lit(None).cast("date"))}
+    assert star.outside_calendar(undated, dates).where("table_name = 'orders'").first()["undated"] == stg["orders"].count()
+
+
+def test_command_line(spark, tmp_path, sf):
+    given.as_bronze(given.products(spark, sf)).write.option("header", True).csv(f"{tmp_path}/landing/products/p1")
+    assert cli.main(["--root", str(tmp_path), "--date", DAY, "--run-id", "c1", "--stage", "ingest"], spark) == 0
+    assert ledger.ledger(spark, f"{tmp_path}/bronze").first()["run_id"] == "c1"
+    # nothing else is there: the whole run stops at the gate, says so, and leaves its rows in the log
+    assert cli.main(["--root", str(tmp_path), "--date", DAY, "--run-id", "c2"], spark) == 1
+    log = writers.read_version(spark, f"{tmp_path}/audit/run_log").where("run_id = 'c2'")
+    assert ("quality", "failed") in rows(log, "stage", "status")
+    assert spark.read.parquet(f"{tmp_path}/audit/cast_failures").where("run_id = 'c2'").count() == 21
+    with pytest.raises(SystemExit):
+        cli.arguments(["--root", "x", "--date", "15.1.2024"])
+
+
 def test_gate_stops_the_run(spark, bronze_root):
     run = medallion.start_run(spark, bronze_root, "run-2", "2024-01-03")
     medallion.run_silver(run)

@@ -11,6 +11,7 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,6 +162,7 @@ def run_silver(run: Run) -> dict[str, dict[str, int] | str]:
         except Exception as problem:  # isolation is the point; the failure is recorded and raised below
             log.exception("Silver table %s failed", table)
             outcome[table] = str(problem)
+    write_table(cast_failures(run), run.path("audit", "cast_failures") + f"/run_id={run.run_id}")
     done = [c for c in outcome.values() if isinstance(c, dict)]
     failed = [t for t, c in outcome.items() if not isinstance(c, dict)]
     log_stage(
@@ -175,6 +177,12 @@ def run_silver(run: Run) -> dict[str, dict[str, int] | str]:
     return outcome
 
 
+def cast_failures(run: Run) -> DataFrame:
+    """(table_name, column_name, failures): Bronze values of this run that no Silver column could take."""
+    parts = [conform.cast_failures(_bronze(run, t), t).select(F.lit(t).alias("table_name"), "*") for t in TABLES]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_summary(run: Run, outcome: dict) -> DataFrame:
     """(table_name, rows_in, rows_out, rows_dropped, pii_masked) of a Silver stage."""
     rows = [(t, c["rows_in"], c["rows_out"], c["rows_in"] - c["rows_out"], c["pii"]) for t, c in outcome.items() if isinstance(c, dict)]
@@ -242,10 +250,11 @@ def views(run: Run) -> dict[str, DataFrame]:
     return {name: view(run.read("staging", name)) for name, view in staging.VIEW.items()}
 
 
-def run_gold(run: Run, first_day: str | None = None, last_day: str | None = None) -> None:
+def run_gold(run: Run, first_day: str | None = None, last_day: str | None = None) -> int:
     """Dimensions, facts and marts in dependency order, each stored before the next one reads it.
 
-    The calendar covers the days of the staged orders, snapshots and events where no bound is given.
+    The calendar covers the days of the staged orders, snapshots and events where no bound is given. Returns the number of rows
+    that it does not cover, which marts leave out; ``audit/outside_calendar`` has them by table.
     """
     stg = views(run)
     if first_day is None or last_day is None:
@@ -257,6 +266,8 @@ def run_gold(run: Run, first_day: str | None = None, last_day: str | None = None
         return run.read(layer, name)
 
     dates = store("gold", "dim_date", lambda: star.dim_date(run.spark, first_day, last_day))
+    aside = run.path("audit", "outside_calendar") + f"/run_id={run.run_id}"
+    write_table(star.outside_calendar(stg, dates), aside)
     store("gold", "dim_geography", lambda: star.dim_geography(run.spark))
     # these are written once, in the order of their keys
     customers = star.dim_customers(stg["customers"], stg["orders"], run.path("gold", "dim_customers"))
@@ -269,6 +280,7 @@ def run_gold(run: Run, first_day: str | None = None, last_day: str | None = None
     store("marts", "mart_return_rates", lambda: marts.mart_return_rates(stg["orders"], products, dates))
     store("marts", "mart_customer_cohorts", lambda: marts.mart_customer_cohorts(stg["orders"], customers, dates))
     store("marts", "mart_inventory_alerts", lambda: marts.mart_inventory_alerts(stg["inventory"], velocity, products, dates))
+    return run.spark.read.parquet(aside).agg(F.sum(F.col("undated") + F.col("outside"))).first()[0]
 
 
 KEYED = {
@@ -342,7 +354,7 @@ def run_all(
     started = datetime.now(timezone.utc)
     outcome = run.path("audit", "table_tests") + f"/run_id={run.run_id}"
     try:
-        run_gold(run, first_day, last_day)
+        left_out = run_gold(run, first_day, last_day)
         write_table(run_tests(run), outcome)
         results = run.spark.read.parquet(outcome)
         require_tests(results)
@@ -350,6 +362,6 @@ def run_all(
     except Exception:
         log_stage(run, "gold", started, "failed")
         raise
-    log_stage(run, "gold", started, "success")
+    log_stage(run, "gold", started, "success", records_failed=left_out)
     run_retention(run)
     return results

@@ -7,6 +7,7 @@ after a table add the dense key, which writes the table once (see ``operators.ke
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,17 @@ def calendar_bounds(views: Mapping[str, DataFrame]) -> tuple[str, str]:
     return min(lows), max(highs)
 
 
+def outside_calendar(views: Mapping[str, DataFrame], dates: DataFrame) -> DataFrame:
+    """(table_name, undated, outside): rows of the staged tables without a day, and with one that the calendar does not have."""
+    first, last = dates.agg(F.min("full_date"), F.max("full_date")).first()
+    days = {"orders": F.col("order_date"), "inventory": F.col("inventory_date"), "events": F.col("event_timestamp").cast("date")}
+    parts = [
+        views[t].agg(F.count_if(d.isNull()).alias("undated"), F.count_if(~d.between(F.lit(first), F.lit(last))).alias("outside")).select(F.lit(t).alias("table_name"), "*")
+        for t, d in days.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def dim_date_of(df: DataFrame, column: str) -> DataFrame:
     """Calendar that covers every date of a table."""
     return date_spine(_days(df.agg(F.min(column).alias("first_day"), F.max(column).alias("last_day"))))

@@ -61,7 +61,8 @@ def stream_bronze(
                 writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 writer.partitionBy(*partitions).format(kind).save(f"{root}/{name}")
 
-            put(accepted(batch), "events", "json", "event_type", "date", "batch")
+            # each folder gets one file, or as many as its size asks for, instead of one from every task
+            put(accepted(batch).hint("rebalance", "event_type", "date"), "events", "json", "event_type", "date", "batch")
             put(quarantined(batch).withColumn("batch", F.lit(batch_id)), "quarantine", "json", "batch")
             put(ingest_metrics(batch).withColumn("batch", F.lit(batch_id)), "metrics", "parquet", "batch")
         finally:
