@@ -3,7 +3,8 @@
 The index holds a posting (term, document, position) for every word of the corpus that also occurs in the test set; it is
 written once. A phrase starts from its rarest term: its postings, shifted by the term's offset in the phrase, are the possible
 starts. They are intersected with the shifted postings of the second rarest term, and what is left is compared with the
-whole phrase at the document. Everything is joins and built-in functions.
+whole phrase at the document. Everything is joins and built-in functions. A term may hold a large part of all postings, so joins by
+term are split: postings by document, phrases by themselves, each over ``PARTS`` parts of every term.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from tillhouse.llm.quality import bound
 from tillhouse.session import materialize
 
 WINDOW = 10
+PARTS = 16
 LENGTH = " "
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Fixed value: what stands between two words.
@@ -57,13 +59,23 @@ def signature(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def part_of(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(PARTS)).cast("int")
+
+
+def in_all_parts(df: DataFrame) -> DataFrame:
+    """A row per part, for the side of a join that has few rows of a term."""
+    return df.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+
+
 def anchors(found: DataFrame, index: DataFrame) -> DataFrame:
     """Phrases with their two rarest terms: ``t1, o1`` and ``t2, o2`` (the same, where a phrase has one word).
 
     The offset breaks ties. A phrase with a term that the corpus lacks occurs nowhere and is left out.
     """
     frequency = index.groupBy("term").agg(F.count("*").alias("f"))
-    terms = found.select("phrase", "n", F.posexplode("terms").alias("o", "term")).join(frequency, "term")
+    terms = found.select("phrase", "n", F.posexplode("terms").alias("o", "term")).withColumn("part", part_of("phrase", "o"))
+    terms = terms.join(in_all_parts(frequency), ["term", "part"])
     ranked = terms.groupBy("phrase", "n").agg(F.sort_array(F.collect_list(F.struct("f", "o", "term"))).alias("r")).where(F.size("r") == F.col("n"))
     second = F.least(F.lit(2), F.size("r"))
     return ranked.select(
@@ -73,8 +85,10 @@ def anchors(found: DataFrame, index: DataFrame) -> DataFrame:
 
 def starts(index: DataFrame, rare: DataFrame) -> DataFrame:
     """Places ``phrase, doc, sig, start`` where both anchors stand at their offsets."""
-    first = index.join(rare, index.term == rare.t1).select("phrase", "t2", "o2", "doc", "sig", (F.col("pos") - F.col("o1")).alias("start")).where("start >= 0")
-    other = index.join(rare.select(F.col("t2").alias("term")).distinct(), "term", "left_semi")
+    dealt = index.withColumn("part", part_of("sig", "doc"))
+    first = dealt.join(in_all_parts(rare.withColumnRenamed("t1", "term")), ["term", "part"])
+    first = first.select("phrase", "t2", "o2", "doc", "sig", (F.col("pos") - F.col("o1")).alias("start")).where("start >= 0")
+    other = dealt.join(in_all_parts(rare.select(F.col("t2").alias("term")).distinct()), ["term", "part"], "left_semi")
     other = other.select(F.col("term").alias("t"), F.col("doc").alias("d"), F.col("sig").alias("s"), F.col("pos").alias("p")).distinct()
     both = first.join(other, (F.col("t2") == F.col("t")) & (F.col("sig") == F.col("s")) & F.col("doc").eqNullSafe(F.col("d")) & (F.col("start") + F.col("o2") == F.col("p")))
     return both.select("phrase", "doc", "sig", "start")
