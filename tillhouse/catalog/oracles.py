@@ -290,7 +290,11 @@ FINALS["parse_events"] = """
            ' User.' || user_id || '@Example.com ' AS customer_email, quantity, order_amount, status
     FROM r_parsed WHERE reject_reason IS NULL"""
 FINALS["quarantine_events"] = """
-    SELECT reject_reason, count(*) AS messages FROM r_parsed WHERE reject_reason IS NOT NULL GROUP BY 1"""
+    SELECT reject_reason, count(*) AS messages FROM (
+        SELECT reject_reason FROM r_parsed
+        UNION ALL SELECT CASE WHEN props IS NULL THEN 'malformed' ELSE 'missing:event_id' END FROM events
+        UNION ALL SELECT 'malformed' FROM documents)
+    WHERE reject_reason IS NOT NULL GROUP BY 1"""
 FINALS["ingest_metrics"] = """
     SELECT CASE WHEN reject_reason IS NULL THEN event_type ELSE 'unknown' END AS event_type,
            count(*) FILTER (reject_reason IS NULL) AS processed, count(*) FILTER (reject_reason IS NOT NULL) AS failed

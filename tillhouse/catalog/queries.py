@@ -214,7 +214,10 @@ def parse_events(r: Retail) -> DataFrame:
 
 @query
 def quarantine_events(r: Retail) -> DataFrame:
-    parsed = ingest.parse_events(given.messages(r.bronze("events")))
+    """All envelopes, the bare payloads of the events, and the documents' texts as messages of one topic: what is rejected, and why."""
+    payloads = given.read(r.spark, r.sf_dir, "events").select(F.col("props").alias("value"))
+    texts = given.read(r.spark, r.sf_dir, "documents").select(F.col("text").alias("value"))
+    parsed = ingest.parse_events(given.messages(r.bronze("events")).unionByName(payloads).unionByName(texts))
     return ingest.quarantined(parsed).groupBy("reject_reason").agg(F.count("*").alias("messages"))
 
 

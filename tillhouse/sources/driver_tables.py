@@ -207,10 +207,10 @@ def envelopes(given: DataFrame) -> DataFrame:
 
 def calendar(spark: SparkSession, sf_dir: str) -> tuple[str | None, str | None]:
     """First and last day of the orders and the inventory snapshots."""
-    ordered = read(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
-    stocked = read(spark, sf_dir, "lineitem").select(month_start("l_shipdate").alias("day"))
-    ends = ordered.unionByName(stocked).agg(F.min("day").cast("string"), F.max("day").cast("string")).first()
-    return ends[0], ends[1]
+    ends = lambda table, c: read(spark, sf_dir, table).agg(F.min(c).cast("date").alias("first"), F.max(c).cast("date").alias("last"))
+    stocked = ends("lineitem", "l_shipdate").select(month_start("first").alias("first"), month_start("last").alias("last"))
+    both = ends("orders", "o_orderdate").unionByName(stocked).agg(F.min("first").cast("string"), F.max("last").cast("string")).first()
+    return both[0], both[1]
 
 
 def messages(envelope: DataFrame) -> DataFrame:
