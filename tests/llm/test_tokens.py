@@ -45,11 +45,11 @@ def test_grammar_round_trip_and_random_access():
     ends = np.cumsum([len(d) for d in docs]) - 1
     symbols, rules, lengths, base = tokens.repair(ids, ends)
     assert len(rules) and len(symbols) < len(ids) / 2
-    whole = tokens.expand(symbols, rules, base)
+    whole = tokens.expand(symbols, rules, base, lengths)
     assert (np.flatnonzero(whole == base - 1) == ends).all()
     assert (np.where(whole == base - 1, 0, whole) == ids).all()
     for k in range(len(rules)):
-        assert len(tokens.expand(np.array([base + k]), rules, base)) == lengths[k]
+        assert len(tokens.expand(np.array([base + k]), rules, base, lengths)) == lengths[k]
     pairs = symbols[:-1].astype(np.int64) << 32 | symbols[1:]
     pairs = pairs[(symbols[:-1] != base - 1) & (symbols[1:] != base - 1) & (symbols[:-1] != symbols[1:])]
     assert np.unique(pairs, return_counts=True)[1].max() < tokens.LEAST  # no pair is left that would make a rule

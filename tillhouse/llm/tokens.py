@@ -184,20 +184,22 @@ def repair(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.nd
     return s, np.concatenate(rules), np.concatenate(lengths), base
 
 
-def expand(s: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that a sequence of symbols stands for."""
+def expand(s: np.ndarray, rules: np.ndarray, base: int, lengths: np.ndarray) -> np.ndarray:
+    """The ids that a sequence of symbols stands for. Lengths say where each ends up, so every rule is opened once."""
     s = s.astype(np.uint32)
-    while True:
+    size = symbol_lengths(s, lengths, base)
+    place = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint32)
+    own = np.concatenate((np.ones(1, np.int64), lengths.astype(np.int64)))
+    left, right = rules[:, 0].astype(np.uint32), rules[:, 1].astype(np.uint32)
+    behind = own[np.maximum(left.astype(np.int64) - base + 1, 0)]  # how far the second part of a rule lies behind the first
+    while len(s):
         made = s >= base
-        if not made.any():
-            return s
-        at = np.arange(len(s)) + np.cumsum(made) - made
-        out = np.empty(len(s) + int(made.sum()), np.uint32)
-        out[at[~made]] = s[~made]
-        pair = rules[(s[made] - base).astype(np.int64)]
-        out[at[made]] = pair[:, 0]
-        out[at[made] + 1] = pair[:, 1]
-        s = out
+        out[place[~made]] = s[~made]
+        rule, place = (s[made] - np.uint32(base)).astype(np.int64), place[made]
+        s = np.concatenate((left[rule], right[rule]))
+        place = np.concatenate((place, place + behind[rule]))
+    return out
 
 
 def symbol_lengths(s: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
@@ -235,7 +237,7 @@ class Shard:
         self.rules = rules.reshape(-1, 2)
 
     def _ids(self, symbols: np.ndarray) -> np.ndarray:
-        out = expand(symbols, self.rules, self.base)
+        out = expand(symbols, self.rules, self.base, self.lengths)
         out[out == self.base - 1] = END
         return out
 
