@@ -310,6 +310,28 @@ def test_rows_outside_the_calendar_are_counted(spark, bronze_root):
     assert star.outside_calendar(undated, dates).where("table_name = 'orders'").first()["undated"] == stg["orders"].count()
 
 
+def test_silver_reads_each_bronze_table_once(spark, sf, tmp_path):
+    """Rows that pass the reader, counted on the executors, against rows in the input; the counts of the stage come from the same pass."""
+    for table, reads in (("customers", 1), ("products", 1), ("orders", 1), ("inventory", 1), ("events", 2)):
+        bronze = getattr(given, table)(spark, sf)
+        bronze = spark.createDataFrame((bronze if table == "events" else given.as_bronze(bronze)).collect(), bronze.schema if table == "events" else given.as_bronze(bronze).schema)
+        if table == "products":
+            bronze = bronze.withColumn("product_id", F.when(F.col("product_id") != "PROD-7", F.col("product_id"))).withColumn("unit_price", F.when(F.col("product_id") == "PROD-8", "x").otherwise(F.col("unit_price")))
+        passed = spark.sparkContext.accumulator(0)
+
+        def count(batches, passed=passed):
+            for b in batches:
+                passed.add(len(b))
+                yield b
+
+        n = bronze.count()
+        counts = medallion.write_silver(bronze.mapInArrow(count, bronze.schema), table, DAY, f"{tmp_path}/{table}", f"{tmp_path}/audit/{table}", "r")
+        assert passed.value == reads * n and counts["rows_in"] == n, table
+        assert counts["rows_out"] == spark.read.parquet(f"{tmp_path}/{table}").count()
+        if table == "products":
+            assert (counts["rows_out"], counts["failed_unit_price"], counts["failed_cost_price"]) == (n - 1, 1, 0)
+
+
 def test_command_line(spark, tmp_path, sf):
     given.as_bronze(given.products(spark, sf)).write.option("header", True).csv(f"{tmp_path}/landing/products/p1")
     assert cli.main(["--root", str(tmp_path), "--date", DAY, "--run-id", "c1", "--stage", "ingest"], spark) == 0

@@ -358,6 +358,14 @@ FINALS["silver_drop_counts"] = f"""
                (SELECT count(*) FROM r_events) AS rows_out
         UNION ALL SELECT 'products', count(*), 0, 0, count(*) - count(product_id), count(product_id) FROM r_products
         UNION ALL SELECT 'inventory', count(*), 0, 0, count(*) - count(product_id), count(product_id) FROM r_inventory)"""
+FINALS["silver_run_summary"] = """
+    SELECT table_name, rows_in, rows_out, rows_in - rows_out AS rows_dropped, pii_masked FROM (
+        SELECT 'events' AS table_name, (SELECT count(*) FROM r_bronze) AS rows_in, (SELECT count(*) FROM r_events) AS rows_out,
+               (SELECT count(*) FROM r_audit WHERE event_id IS NOT NULL) AS pii_masked
+        UNION ALL SELECT 'customers', count(*), count(*), 3 * count(*) + count(shipping_address) FROM r_customers
+        UNION ALL SELECT 'orders', count(*), count(*), count(shipping_address) FROM r_orders
+        UNION ALL SELECT 'products', count(*), count(product_id), 0 FROM r_products
+        UNION ALL SELECT 'inventory', count(*), count(product_id), 0 FROM r_inventory)"""
 _CASTS = {
     "events": ("event_timestamp", "quantity", "unit_price", "order_amount"),
     "customers": ("registration_date", "total_spent", "total_orders", "tier"),

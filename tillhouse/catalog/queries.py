@@ -17,7 +17,7 @@ from tillhouse.functions.exprs import month_start
 from tillhouse.operators import conform, constraints, ingest, keys, privacy, rules, upsert
 from tillhouse.operators.dedup import dedup_events, dedup_latest
 from tillhouse.operators.expectations import run_suite, summarize
-from tillhouse.plans import checkpoints, marts, ops, serving, staging, star
+from tillhouse.plans import checkpoints, marts, medallion, ops, serving, staging, star
 from tillhouse.plans import table_tests as declared_tests
 from tillhouse.schemas import CUSTOMER_TIERS
 from tillhouse.session import configure, materialize, scratch_path
@@ -344,6 +344,15 @@ def silver_drop_counts(r: Retail) -> DataFrame:
     return counts
 
 
+@query
+def silver_run_summary(r: Retail) -> DataFrame:
+    """All five tables written as the run writes them, with the counts that the writing jobs observed."""
+    root, outcome = scratch_path(r.spark, "silver"), {}
+    for name in medallion.TABLES:
+        outcome[name] = medallion.write_silver(r.bronze(name), name, EVENT_RUN_DATE, f"{root}/{name}", f"{root}/audit/{name}", RUN_ID)
+    return medallion.run_summary(r.spark, outcome)
+
+
 @query
 def cast_failures(r: Retail) -> DataFrame:
     found = [conform.cast_failures(r.bronze(name), name).select(F.lit(name).alias("table_name"), "*") for name in conform.SPECS]

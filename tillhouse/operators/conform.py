@@ -86,16 +86,35 @@ def silver_table(bronze: DataFrame, name: str) -> DataFrame:
     return conform(bronze, spec).where(has_keys(spec))
 
 
-def cast_failures(bronze: DataFrame, name: str) -> DataFrame:
-    """(column_name, failures): values present in Bronze that did not survive the cast or the domain."""
+def _failed_casts(columns: Sequence[str], name: str) -> dict[str, Column]:
+    """Per column: a value is there in Bronze that does not survive the cast or the domain."""
     spec = SPECS[name]
-    results = {c: conformed(c, kind) for c, kind in spec.casts.items() if c in bronze.columns}
+    results = {c: conformed(c, kind) for c, kind in spec.casts.items() if c in columns}
     results |= {c: F.when(F.col(c).isin(*allowed), F.col(c)) for c, allowed in spec.domains.items()}
-    counted = bronze.agg(*[F.count_if(F.col(c).isNotNull() & typed.isNull()).alias(c) for c, typed in results.items()])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failures")) for c in results]
+    return {c: F.col(c).isNotNull() & typed.isNull() for c, typed in results.items()}
+
+
+def failed_columns(columns: Sequence[str], name: str) -> list[str]:
+    return list(_failed_casts(columns, name))
+
+
+def cast_failures(bronze: DataFrame, name: str) -> DataFrame:
+    """(column_name, failures): values present in Bronze that did not survive the cast or the domain."""
+    failed = _failed_casts(bronze.columns, name)
+    counted = bronze.agg(*[F.count_if(bad).alias(c) for c, bad in failed.items()])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failures")) for c in failed]
     return counted.select(F.inline(F.array(*rows)))
 
 
+def intake_counts(bronze: DataFrame, name: str) -> list[Column]:
+    """Aggregates over Bronze rows: ``rows_in``, ``keyed`` (rows with all required keys) and ``failed_<column>``."""
+    spec, keyed = SPECS[name], F.lit(True)
+    for c in spec.required:
+        keyed = keyed & (conformed(c, spec.casts[c]) if c in spec.casts else F.col(c)).isNotNull()
+    failed = [F.count_if(bad).alias(f"failed_{c}") for c, bad in _failed_casts(bronze.columns, name).items()]
+    return [F.count("*").alias("rows_in"), F.count_if(keyed).alias("keyed"), *failed]
+
+
 def event_drop_counts(bronze: DataFrame) -> DataFrame:
     """One row: rows in, rows without event_id, repeated copies, winners without a key, rows out."""
     spec = SPECS["events"]

@@ -11,9 +11,8 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -121,33 +120,42 @@ def silver_path(run: Run, table: str) -> str:
 
 
 def _write_silver(run: Run, table: str) -> dict[str, int]:
-    """Conform, mask and write one table together with its audit rows; returns the row counts.
+    audit = run.path("audit", "pii_log") + f"/pipeline_run_id={run.run_id}/table_name={table}"
+    return write_silver(_bronze(run, table), table, run.run_date, silver_path(run, table), audit, run.run_id)
 
-    The counts are read from the input and from what was written, so a task that ran twice cannot
-    distort them.
+
+def write_silver(bronze: DataFrame, table: str, run_date: str, path: str, audit_path: str, run_id: str) -> dict[str, int]:
+    """Conform, mask and write one table together with its audit rows; returns the counts of the stage.
+
+    Bronze is read once: the counts are observed by the job that writes the table. That job has no shuffle for the batch
+    tables, so Spark takes each of its partitions into account once, also when a task runs again. Events are deduplicated
+    behind a shuffle, whose input may be counted twice when an executor is lost; they are counted by an aggregate of their own.
     """
-    bronze = _bronze(run, table)
+    spark, counts = bronze.sparkSession, {}
     if table == "events":
-        clear = conform.silver_events(bronze, run.run_date).withColumn("silver_processed_at", F.current_timestamp())
-        partitions = ["event_type"]
+        counts = bronze.agg(*conform.intake_counts(bronze, table)).first().asDict()
+        clear = conform.silver_events(bronze, run_date).withColumn("silver_processed_at", F.current_timestamp())
+        partitions, seen = ["event_type"], None
     else:
-        clear, partitions = conform.silver_table(bronze, table), []
+        seen = Observation()
+        clear, partitions = conform.silver_table(bronze.observe(seen, *conform.intake_counts(bronze, table)), table), []
     pii = 0
     if table in MASKED:
         # masked values and audit cells only, so nothing in the clear is kept
         masked = privacy.mask_with_audit(clear).persist()
         try:
-            write_table(masked.drop("_pii"), silver_path(run, table), partitions)
-            audit = privacy.audit_rows_of(masked, run.run_id).withColumn("table_name", F.lit(table))
-            path = run.path("audit", "pii_log") + f"/pipeline_run_id={run.run_id}/table_name={table}"
-            write_table(audit.drop("pipeline_run_id", "table_name"), path)
-            pii = run.spark.read.parquet(path).count()
+            write_table(masked.drop("_pii"), path, partitions)
+            audit = privacy.audit_rows_of(masked, run_id).withColumn("table_name", F.lit(table))
+            write_table(audit.drop("pipeline_run_id", "table_name"), audit_path)
+            pii = spark.read.parquet(audit_path).count()  # from the footers
         finally:
             masked.unpersist()
     else:
-        write_table(clear, silver_path(run, table))
-    stored = read_or_empty(run.spark, StructType(), lambda: silver_table(run, table))
-    return {"rows_in": bronze.count(), "rows_out": stored.count(), "pii": pii}
+        write_table(clear, path)
+    counts = counts if seen is None else seen.get
+    stored = read_or_empty(spark, StructType(), lambda: spark.read.parquet(path)).count() if seen is None else counts["keyed"]
+    failed = {f"failed_{c}": counts[f"failed_{c}"] for c in conform.failed_columns(bronze.columns, table)}
+    return {"rows_in": counts["rows_in"], "rows_out": stored, "pii": pii} | failed
 
 
 def run_silver(run: Run) -> dict[str, dict[str, int] | str]:
@@ -162,7 +170,7 @@ def run_silver(run: Run) -> dict[str, dict[str, int] | str]:
         except Exception as problem:  # isolation is the point; the failure is recorded and raised below
             log.exception("Silver table %s failed", table)
             outcome[table] = str(problem)
-    write_table(cast_failures(run), run.path("audit", "cast_failures") + f"/run_id={run.run_id}")
+    write_table(cast_failures(run.spark, outcome), run.path("audit", "cast_failures") + f"/run_id={run.run_id}")
     done = [c for c in outcome.values() if isinstance(c, dict)]
     failed = [t for t, c in outcome.items() if not isinstance(c, dict)]
     log_stage(
@@ -177,18 +185,16 @@ def run_silver(run: Run) -> dict[str, dict[str, int] | str]:
     return outcome
 
 
-def cast_failures(run: Run) -> DataFrame:
-    """(table_name, column_name, failures): Bronze values of this run that no Silver column could take."""
-    parts = [conform.cast_failures(_bronze(run, t), t).select(F.lit(t).alias("table_name"), "*") for t in TABLES]
-    return reduce(DataFrame.unionByName, parts)
+def cast_failures(spark: SparkSession, outcome: dict) -> DataFrame:
+    """(table_name, column_name, failures): Bronze values that no Silver column could take, as counted by the stage."""
+    rows = [(t, k.removeprefix("failed_"), n) for t, c in outcome.items() if isinstance(c, dict) for k, n in c.items() if k.startswith("failed_")]
+    return spark.createDataFrame(rows, "table_name string, column_name string, failures bigint")
 
 
-def run_summary(run: Run, outcome: dict) -> DataFrame:
+def run_summary(spark: SparkSession, outcome: dict) -> DataFrame:
     """(table_name, rows_in, rows_out, rows_dropped, pii_masked) of a Silver stage."""
     rows = [(t, c["rows_in"], c["rows_out"], c["rows_in"] - c["rows_out"], c["pii"]) for t, c in outcome.items() if isinstance(c, dict)]
-    return run.spark.createDataFrame(
-        rows, "table_name string, rows_in bigint, rows_out bigint, rows_dropped bigint, pii_masked bigint"
-    )
+    return spark.createDataFrame(rows, "table_name string, rows_in bigint, rows_out bigint, rows_dropped bigint, pii_masked bigint")
 
 
 # --- gate -----------------------------------------------------------------------------------------
