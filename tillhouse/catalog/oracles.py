@@ -313,6 +313,10 @@ FINALS["stream_event_rate_5m"] = f"""
 FINALS["ingest_once"] = """
     SELECT DISTINCT strftime(date, '%Y%m') AS drop_id FROM r_inventory
     WHERE strftime(date, '%Y%m') NOT IN (SELECT strftime(order_date, '%Y%m') FROM r_orders)"""
+FINALS["bronze_day_events"] = """
+    SELECT event_id, event_type, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%gZ') AS event_timestamp, order_id, customer_id, quantity, order_amount
+    FROM r_bronze WHERE r_bronze.event_timestamp::date = DATE '2024-01-15'"""
+FINALS["bronze_csv_drop"] = f"SELECT {ORDER_COLUMNS} FROM r_orders"
 FINALS["load_drops"] = """
     SELECT 'orders' AS entity, strftime(order_date, '%Y') AS drop_id, 'first' AS run_id, count(*) AS rows FROM r_orders GROUP BY 2"""
 FINALS["retention_log"] = f"""
@@ -394,6 +398,7 @@ FINALS["pii_mask_orders"] = """
 FINALS["pii_audit_rows"] = f"""
     SELECT record_id, event_id, field_name, masking_action, original_length, '{RUN_ID}' AS pipeline_run_id FROM r_audit"""
 FINALS["pii_masked_count"] = "SELECT field_name, count(*) AS masked_values FROM r_audit GROUP BY 1"
+FINALS["pii_log_written"] = f"SELECT '{RUN_ID}' AS pipeline_run_id, field_name, count(*) AS rows FROM r_audit GROUP BY 2"
 FINALS["pii_entities"] = f"SELECT {ACTION} AS masking_action, count(*) AS addresses FROM r_customers GROUP BY 1"
 _SCAN = ", ".join(f"cast(len(regexp_extract_all(text, '{p}')) AS bigint) AS {kind}_count" for kind, p in TEXT_PATTERNS.items())
 FINALS["pii_scan_documents"] = f"SELECT doc_id, {_SCAN} FROM documents"
@@ -416,6 +421,9 @@ FINALS["stg_orders"] = f"SELECT {ORDER_COLUMNS}, card_last4, card_type FROM r_or
 FINALS["stg_inventory"] = f"""
     SELECT product_id, {day('date')} AS inventory_date, stock_level, reorder_threshold, units_sold, units_received FROM r_inventory"""
 
+FINALS["staging_loaded"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows, count(*) AS stamped FROM r_{t}" for t in ("events", "customers", "products", "orders", "inventory"))
+
 # --- gold -----------------------------------------------------------------------------------------
 
 FINALS["surrogate_keys"] = "SELECT customer_key, customer_id FROM r_customer_keys"
@@ -534,6 +542,10 @@ FINALS["daily_sales_trend"] = f"""
     SELECT {day('period_date')} AS period_date, sum(cents)::bigint / 100.0 AS total_gmv, sum(total_orders)::bigint AS total_orders,
            (sum(cents)::bigint / 100.0) / sum(total_orders)::bigint AS avg_order_value
     FROM r_sales WHERE period_date >= (SELECT max(period_date) FROM r_sales) - 30 GROUP BY r_sales.period_date"""
+FINALS["range_presets"] = """
+    SELECT preset, sum(total_orders)::bigint AS orders, sum(cents)::bigint / 100.0 AS gmv
+    FROM r_sales, (VALUES ('7d', 7), ('30d', 30), ('90d', 90), ('6mo', 180)) AS p(preset, days)
+    WHERE period_date >= (SELECT max(period_date) FROM r_sales) - days GROUP BY 1"""
 FINALS["sales_by_category"] = """
     SELECT coalesce(category, 'Unknown') AS category, sum(cents)::bigint / 100.0 AS total_gmv, sum(total_orders)::bigint AS total_orders,
            sum(returned_orders)::double / sum(total_orders)::double AS return_rate
@@ -681,6 +693,10 @@ FINALS["checkpoint_summary"] = f"""
     UNION ALL
     SELECT 'checkpoint_silver_freshness', 'silver_freshness', 1, cast({_FRESH_AGE} <= 7200000000 AS bigint),
            1 - cast({_FRESH_AGE} <= 7200000000 AS bigint), {_FRESH_AGE} <= 7200000000 FROM r_events"""
+FINALS["validation_written"] = f"""
+    SELECT '{RUN_ID}' AS pipeline_run_id, checkpoint_name, suite_name, evaluated_expectations, successful_expectations, unsuccessful_expectations,
+           NOT success AS closes_gate, true AS detailed
+    FROM ({FINALS["checkpoint_summary"]})"""
 FINALS["freshness_check"] = f"""
     SELECT 'checkpoint_silver_freshness' AS checkpoint_name, 'silver_freshness' AS suite_name,
            {_FRESH_AGE} <= 7200000000 AS success, {stamp('max(event_timestamp)')} AS most_recent,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.functions.exprs import month_start
+from tillhouse.functions.exprs import RANGE_DAYS, month_start, range_days, since_days
 from tillhouse.operators import conform, constraints, ingest, keys, privacy, rules, upsert
 from tillhouse.operators.dedup import dedup_events, dedup_latest
 from tillhouse.operators.expectations import run_suite, summarize
@@ -22,7 +22,7 @@ from tillhouse.plans import table_tests as declared_tests
 from tillhouse.schemas import CUSTOMER_TIERS
 from tillhouse.session import configure, materialize, scratch_path
 from tillhouse.sources import driver_tables as given
-from tillhouse.sources import history_table, ledger, retention, versions, writers
+from tillhouse.sources import history_table, ledger, readers, retention, versions, writers
 from tillhouse.streaming import bronze as streams
 from tillhouse.streaming import dedup_index, rates
 
@@ -33,6 +33,7 @@ EVENT_RUN_DATE = "2024-01-30"
 EVENT_CLOSE = f"{EVENT_RUN_DATE} 23:59:59"
 HISTORY_DATES = ("1998-01-01", "2000-01-01")
 RUN_ID = "run-2024-01-30"
+BRONZE_DAY = "2024-01-15"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -270,6 +271,23 @@ def ingest_once(r: Retail) -> DataFrame:
     return writers.ingest_once(drops, ledger)
 
 
+@query
+def bronze_day_events(r: Retail) -> DataFrame:
+    """One day of the event folders, read by folder names from the whole Bronze layer."""
+    root = scratch_path(r.spark, "events")
+    ingest.with_bronze_partition(r.bronze("events")).write.partitionBy("event_type", "date").json(root)
+    day = readers.read_bronze_events(r.spark, root, BRONZE_DAY)
+    return day.select("event_id", "event_type", "event_timestamp", "order_id", "customer_id", "quantity", "order_amount")
+
+
+@query
+def bronze_csv_drop(r: Retail) -> DataFrame:
+    """The orders as a CSV drop and back."""
+    root = scratch_path(r.spark, "drop")
+    writers.write_bronze_csv(r.bronze("orders"), root, "orders")
+    return conform.silver_table(readers.read_bronze_csv(r.spark, root, "orders"), "orders").drop("shipping_address", "card_last4", "card_type")
+
+
 @query
 def load_drops(r: Retail) -> DataFrame:
     """The orders in drops of a year, offered twice; the ledger lets each in once."""
@@ -401,6 +419,15 @@ def pii_masked_count(r: Retail) -> DataFrame:
     return privacy.masked_count(r.audit())
 
 
+@query
+def pii_log_written(r: Retail) -> DataFrame:
+    """Rows per field of the PII log after a run that was written twice."""
+    path, log = scratch_path(r.spark, "pii"), materialize(r.audit(), "audit")
+    for _ in range(2):
+        writers.write_pii_audit(log, path)
+    return r.spark.read.parquet(path).groupBy("pipeline_run_id", "field_name").agg(F.count("*").alias("rows"))
+
+
 @query
 def pii_entities(r: Retail) -> DataFrame:
     found = r.clear("customers").select(privacy.suppression_action(F.col("shipping_address")).alias("masking_action"))
@@ -445,6 +472,20 @@ def stg_inventory(r: Retail) -> DataFrame:
     return r.view("inventory")
 
 
+@query
+def staging_loaded(r: Retail) -> DataFrame:
+    """All staging tables loaded twice, and once more from nothing, which keeps what is there: rows, and rows with a load time."""
+    root, out = scratch_path(r.spark, "staging"), None
+    for name in staging.STAGE:
+        rows = r.staged(name)
+        for df in (rows, rows, rows.limit(0)):
+            writers.load_staging(df, f"{root}/{name}")
+        stored = r.spark.read.parquet(f"{root}/{name}").agg(F.count("*").alias("rows"), F.count("_silver_loaded_at").alias("stamped"))
+        stored = stored.select(F.lit(name).alias("table_name"), "*")
+        out = stored if out is None else out.unionByName(stored)
+    return out
+
+
 # --- gold -----------------------------------------------------------------------------------------
 
 
@@ -583,6 +624,18 @@ def daily_sales_trend(r: Retail) -> DataFrame:
     return serving.daily_sales_trend(sales, 30, as_of=serving.latest(sales, "period_date"))
 
 
+@query
+def range_presets(r: Retail) -> DataFrame:
+    """Orders and GMV inside every preset of the date range, up to the newest day."""
+    sales = r.stored("sales")
+    newest = serving.latest(sales, "period_date")
+    sums = []
+    for preset in RANGE_DAYS:
+        inside = sales.where(F.col("period_date") >= since_days(newest, range_days(preset)))
+        sums.append(inside.agg(F.sum("total_orders").alias("orders"), F.sum("total_gmv").alias("gmv")).select(F.lit(preset).alias("preset"), "*"))
+    return reduce(DataFrame.unionByName, sums)
+
+
 @query
 def sales_by_category(r: Retail) -> DataFrame:
     sales = r.stored("sales")
@@ -686,6 +739,21 @@ def checkpoint_summary(r: Retail) -> DataFrame:
     return checkpoints.checkpoint_summary(results, checkpoints.freshness_check(r.silver("events"), F.lit(EVENT_CLOSE)))
 
 
+@query
+def validation_written(r: Retail) -> DataFrame:
+    """The validation log after a run that was written twice, and which rows close the gate."""
+    path = scratch_path(r.spark, "validation")
+    results = materialize(checkpoints.run_checkpoints({name: r.silver(name) for name in checkpoints.GATED_TABLES}), "results")
+    fresh = checkpoints.freshness_check(r.silver("events"), F.lit(EVENT_CLOSE))
+    for _ in range(2):
+        writers.write_validation(checkpoints.validation_rows(results, RUN_ID, fresh), path)
+    log = r.spark.read.parquet(path)
+    return log.select(
+        "pipeline_run_id", "checkpoint_name", "suite_name", "evaluated_expectations", "successful_expectations", "unsuccessful_expectations",
+        (~F.col("success")).alias("closes_gate"), F.col("result_detail").isNotNull().alias("detailed"),
+    )
+
+
 @query
 def freshness_check(r: Retail) -> DataFrame:
     return checkpoints.freshness_check(r.silver("events"), F.lit(EVENT_CLOSE))
