@@ -132,6 +132,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+_SLOTS = 1 << 20
+
+
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
+
+
 def repair(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Grammar of ``ids``: the shortened sequence, the rules, the length each rule expands to, and the first rule's symbol.
 
@@ -148,17 +155,25 @@ def repair(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.nd
     pairs = ((s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:])[at]
     while len(at):
         # count by a hash first: only pairs in well-filled slots can be frequent
-        slot = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
-        some = (np.bincount(slot, minlength=1 << 20) >= least)[slot]
-        at, pairs = at[some], pairs[some]
+        slot = _slots(pairs)
+        some = (np.bincount(slot, minlength=_SLOTS) >= least)[slot]
+        at, pairs, slot = at[some], pairs[some], slot[some]
         ordered = np.sort(pairs)
         head = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
         counts = np.diff(np.append(head, len(ordered)))
         chosen = ordered[head[counts >= least]]
         if not len(chosen):
             break
-        rule = np.searchsorted(chosen, pairs)
-        hit = chosen[np.minimum(rule, len(chosen) - 1)] == pairs
+        # most chosen pairs have a slot of their own; the few others are searched for
+        own = _slots(chosen)
+        in_slot = np.zeros(_SLOTS, np.int32)
+        in_slot[own] = np.arange(len(chosen))
+        rule = in_slot[slot].astype(np.int64)
+        hit = chosen[rule] == pairs
+        shared = np.bincount(own, minlength=_SLOTS) > 1
+        other = np.flatnonzero(~hit & shared[slot])
+        rule[other] = np.minimum(np.searchsorted(chosen, pairs[other]), len(chosen) - 1)
+        hit[other] = chosen[rule[other]] == pairs[other]
         at, rule = at[hit], rule[hit]
         row = np.append(True, np.diff(at) != 1)
         first = np.flatnonzero(row)
