@@ -116,7 +116,7 @@ BLOCKS = {
                CASE WHEN role <> 'customer_registered' THEN value END AS order_amount,
                CASE WHEN role = 'order_placed' THEN {address('user_id')} END AS shipping_address,
                {card('event_id')},
-               CASE role WHEN 'customer_registered' THEN 'active' WHEN 'item_added_to_cart' THEN 'in_cart'
+               CASE role WHEN 'customer_registered' THEN 'joined' WHEN 'item_added_to_cart' THEN 'basket'
                     WHEN 'order_placed' THEN 'placed' WHEN 'payment_processed' THEN 'paid' ELSE 'returned' END AS status
         FROM r_roles, (VALUES (0), (5)) AS d(delay)
         WHERE delay = 0 OR event_id % 7 = 0""",

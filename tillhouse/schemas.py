@@ -42,6 +42,7 @@ def strings(*names: str) -> T.StructType:
     return table(**{name: "string" for name in names})
 
 
+# Column names and types on the wire and in the tables.
 # Bronze: stream envelope (JSON keeps its numbers) and batch drops (CSV is text only).
 EVENT = table(
     event_id="string",

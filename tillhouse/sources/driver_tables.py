@@ -22,8 +22,8 @@ EVENT_ROLES = {
     "error": "order_returned",
 }
 EVENT_STATUS = {
-    "customer_registered": "active",
-    "item_added_to_cart": "in_cart",
+    "customer_registered": "joined",
+    "item_added_to_cart": "basket",
     "order_placed": "placed",
     "payment_processed": "paid",
     "order_returned": "returned",
