@@ -70,6 +70,13 @@ def test_freshness(frame, newest, success, reason):
     assert (got["success"], got["reason"]) == (success, reason)
 
 
+def test_age_of_an_event_ahead_of_the_clock_counts_whole_seconds(frame):
+    for newest, age in (("2024-01-30 12:00:25.26", -25), ("2024-01-30 11:59:34.74", 25)):
+        df = frame("event_timestamp string", (newest,)).select(F.col("event_timestamp").cast("timestamp"))
+        got = checkpoints.freshness_check(df, F.lit("2024-01-30 12:00:00")).first()
+        assert (got["age_seconds"], got["success"]) == (age, True)
+
+
 def test_freshness_without_rows_or_column(frame):
     empty = frame("event_timestamp timestamp, x int", (None, 1)).where("x > 1")
     assert checkpoints.freshness_check(empty, F.lit("2024-01-30 12:00:00")).first()["reason"] == "no rows"
