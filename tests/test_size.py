@@ -14,3 +14,18 @@ def test_table_tests_build_every_view_once(spark, sf, monkeypatch):
     monkeypatch.setattr(queries.Retail, "staged", lambda self, name: built.append(name) or staged(self, name))
     queries.QUERIES["table_tests"](spark, sf)
     assert sorted(built) == sorted(queries.staging.STAGE)
+
+
+def given_files(df: DataFrame, sf: str) -> list[str]:
+    return [f for f in df.inputFiles() if sf in f]
+
+
+def test_staging_is_loaded_from_stored_rows(spark, sf, monkeypatch):
+    seen = []
+    monkeypatch.setattr(queries.writers, "load_staging", lambda df, path: seen.append(given_files(df, sf)) or df.write.mode("overwrite").parquet(path + "/x=1"))
+    monkeypatch.setattr(queries.staging, "STAGE", {"products": queries.staging.STAGE["products"]})
+    try:
+        queries.QUERIES["staging_loaded"](spark, sf)
+    except Exception:  # the stub stamps no load time
+        pass
+    assert seen == [[], [], []]
