@@ -29,3 +29,18 @@ def test_staging_is_loaded_from_stored_rows(spark, sf, monkeypatch):
     except Exception:  # the stub stamps no load time
         pass
     assert seen == [[], [], []]
+
+
+def test_constraint_loads_read_stored_rows(spark, sf, monkeypatch):
+    seen, enforce = [], constraints.enforce
+    monkeypatch.setattr(constraints, "enforce", lambda df, name, before: seen.append(given_files(df, sf) + given_files(before, sf)) or enforce(df, name, before=before))
+    queries.QUERIES["constraint_loads"](spark, sf)
+    assert seen == [[]] * 5
+
+
+def test_rows_loaded_before_and_keys_with_nulls(frame):
+    schema = "a string, b string"
+    df, before = frame(schema, ("1", "x"), ("1", "x"), ("2", "x"), (None, "x"), (None, "x"), ("3", "x")), frame(schema, ("2", "x"), ("2", "x"), (None, "x"), ("9", "x"))
+    done = constraints.enforce(df.coalesce(1), "none", before=before, keys=(("a", "b"),))
+    assert rows(done.loaded, "a", "b") == rows(frame(schema, ("1", "x"), (None, "x"), (None, "x"), ("3", "x")), "a", "b")
+    assert rows(done.counts(), "rule", "rows") == [("unique:a,b", 2)]

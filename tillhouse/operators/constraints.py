@@ -53,11 +53,13 @@ def enforce(df: DataFrame, table: str, before: DataFrame | None = None, keys: tu
         if lost is not None:
             standing = standing.join(lost.select("_row"), "_row", "left_anti")
         standing = standing.where(whole)
-        winners = standing.groupBy(*key).agg(F.min("_row").alias("_first"))
-        losers = standing.select("_row").join(winners.select(F.col("_first").alias("_row")), "_row", "left_anti")
+        # one aggregate over the rows and those loaded before says which row of a key gets in, if any
+        offers = standing.select(*key, "_row", F.lit(False).alias("_taken"))
         if before is not None:
-            taken = winners.join(before.select(*key).distinct(), list(key), "left_semi").select(F.col("_first").alias("_row"))
-            losers = losers.unionByName(taken)
+            offers = offers.unionByName(before.where(whole).select(*key, F.lit(None).cast("bigint").alias("_row"), F.lit(True).alias("_taken")))
+        firsts = offers.groupBy(*key).agg(F.min("_row").alias("_first"), F.max("_taken").alias("_taken"))
+        winners = firsts.where(~F.col("_taken")).select(F.col("_first").alias("_row"))
+        losers = standing.select("_row").join(winners, "_row", "left_anti")
         losers = materialize(losers.select("_row", F.array(F.lit(key_rule(key))).alias("_lost")), f"losers-{table}")
         lost = losers if lost is None else lost.unionByName(losers)
     if lost is None:
