@@ -44,3 +44,16 @@ def test_rows_loaded_before_and_keys_with_nulls(frame):
     done = constraints.enforce(df.coalesce(1), "none", before=before, keys=(("a", "b"),))
     assert rows(done.loaded, "a", "b") == rows(frame(schema, ("1", "x"), (None, "x"), (None, "x"), ("3", "x")), "a", "b")
     assert rows(done.counts(), "rule", "rows") == [("unique:a,b", 2)]
+
+
+def test_audit_rows_are_compiled(spark, sf):
+    plan = queries.Retail(spark, sf).audit()._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+
+
+def test_action_of_any_detector(frame):
+    text = frame("t string", ("1 Main St",), ("c/o Dr. Lee, 1 Main St",), ("x",), (None,))
+    own = lambda c: F.array(F.lit("B"), F.lit("A"), F.lit("B"))
+    got = text.select(privacy.suppression_action(F.col("t")).alias("a"), privacy.suppression_action(F.col("t"), own).alias("b")).collect()
+    assert [r["a"] for r in got] == ["suppress (entities: LOCATION)", "suppress (entities: LOCATION, PERSON)", "suppress", "suppress"]
+    assert {r["b"] for r in got} == {"suppress (entities: A, B)"}
