@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from collected import rows
+from tillhouse import session
 from tillhouse.catalog import queries
+from tillhouse.operators import constraints, privacy
+from tillhouse.plans import medallion
+from tillhouse.schemas import BRONZE_CSV
+
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def test_table_tests_build_every_view_once(spark, sf, monkeypatch):
@@ -46,6 +52,21 @@ def test_rows_loaded_before_and_keys_with_nulls(frame):
     assert rows(done.counts(), "rule", "rows") == [("unique:a,b", 2)]
 
 
+def test_partitions_follow_the_files(spark, sf, monkeypatch):
+    paths = [f"{sf}/lineitem.parquet", f"{sf}/no such table"]
+    try:
+        monkeypatch.setattr(session, "BYTES_PER_PARTITION", 1024)
+        session.configure_tables(spark, paths)
+        assert int(spark.conf.get(INITIAL)) == session.stored_bytes(spark, paths[0]) // 1024 > 4
+        monkeypatch.setattr(session, "BYTES_PER_PARTITION", 1 << 40)
+        session.configure_tables(spark, paths)
+        assert spark.conf.get(INITIAL, None) is None
+        queries.Retail(spark, sf)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    finally:
+        spark.conf.unset(INITIAL)
+
+
 def test_audit_rows_are_compiled(spark, sf):
     plan = queries.Retail(spark, sf).audit()._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan
@@ -57,3 +78,11 @@ def test_action_of_any_detector(frame):
     got = text.select(privacy.suppression_action(F.col("t")).alias("a"), privacy.suppression_action(F.col("t"), own).alias("b")).collect()
     assert [r["a"] for r in got] == ["suppress (entities: LOCATION)", "suppress (entities: LOCATION, PERSON)", "suppress", "suppress"]
     assert {r["b"] for r in got} == {"suppress (entities: A, B)"}
+
+
+def test_silver_keeps_nothing_in_memory(spark, tmp_path, monkeypatch):
+    monkeypatch.delattr(DataFrame, "persist")
+    bronze = spark.createDataFrame([("C1", "n", "a@b.c", "+1", "1 Main St", "2024-01-01", "gold", "0", "0")], "customer_id string, customer_name string, customer_email string, customer_phone string, shipping_address string, registration_date string, tier string, total_orders string, total_spent string")
+    assert set(bronze.columns) == set(BRONZE_CSV["customers"].names)
+    done = medallion.write_silver(bronze, "customers", "2024-01-30", str(tmp_path / "t"), str(tmp_path / "a"), "r")
+    assert (done["rows_in"], done["rows_out"], done["pii"]) == (1, 1, 4)
