@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from tillhouse.operators import conform, constraints, privacy, rules
 from tillhouse.plans import checkpoints, marts, staging, star, table_tests
 from tillhouse.schemas import BRONZE_CSV, RUN_LOG
-from tillhouse.session import configure
+from tillhouse.session import configure_tables, materialize
 from tillhouse.sources import history_table, ledger, retention
 from tillhouse.sources.files import Files
 from tillhouse.sources.keyed import read_keyed
@@ -57,7 +57,7 @@ def default_run_date() -> str:
 
 
 def start_run(spark: SparkSession, root: str, run_id: str, run_date: str | None = None) -> Run:
-    return Run(configure(spark), root.rstrip("/"), run_id, run_date or default_run_date())
+    return Run(configure_tables(spark), root.rstrip("/"), run_id, run_date or default_run_date())
 
 
 # --- run log --------------------------------------------------------------------------------------
@@ -127,7 +127,7 @@ def _write_silver(run: Run, table: str) -> dict[str, int]:
 def write_silver(bronze: DataFrame, table: str, run_date: str, path: str, audit_path: str, run_id: str) -> dict[str, int]:
     """Conform, mask and write one table together with its audit rows; returns the counts of the stage.
 
-    Bronze is read once: the counts are observed by the job that writes the table. That job has no shuffle for the batch
+    Bronze is read once: the counts are observed by the job that stores the rows. That job has no shuffle for the batch
     tables, so Spark takes each of its partitions into account once, also when a task runs again. Events are deduplicated
     behind a shuffle, whose input may be counted twice when an executor is lost; they are counted by an aggregate of their own.
     """
@@ -141,15 +141,12 @@ def write_silver(bronze: DataFrame, table: str, run_date: str, path: str, audit_
         clear, partitions = conform.silver_table(bronze.observe(seen, *conform.intake_counts(bronze, table)), table), []
     pii = 0
     if table in MASKED:
-        # masked values and audit cells only, so nothing in the clear is kept
-        masked = privacy.mask_with_audit(clear).persist()
-        try:
-            write_table(masked.drop("_pii"), path, partitions)
-            audit = privacy.audit_rows_of(masked, run_id).withColumn("table_name", F.lit(table))
-            write_table(audit.drop("pipeline_run_id", "table_name"), audit_path)
-            pii = spark.read.parquet(audit_path).count()  # from the footers
-        finally:
-            masked.unpersist()
+        # masked values and audit cells only, so nothing in the clear is kept; stored, as a large table does not fit into memory
+        masked = materialize(privacy.mask_with_audit(clear), f"masked-{table}")
+        write_table(masked.drop("_pii"), path, partitions)
+        audit = privacy.audit_rows_of(masked, run_id).withColumn("table_name", F.lit(table))
+        write_table(audit.drop("pipeline_run_id", "table_name"), audit_path)
+        pii = spark.read.parquet(audit_path).count()  # from the footers
     else:
         write_table(clear, path)
     counts = counts if seen is None else seen.get
