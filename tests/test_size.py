@@ -62,7 +62,8 @@ def test_partitions_follow_the_files(spark, sf, monkeypatch):
         session.configure_tables(spark, paths)
         assert spark.conf.get(INITIAL, None) is None
         queries.Retail(spark, sf)
-        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "4m"
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
     finally:
         spark.conf.unset(INITIAL)
 
