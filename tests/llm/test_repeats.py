@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tillhouse.llm import suffix, windows
+from tillhouse.llm import textkit as kit
 from tillhouse.llm.induced import common_prefixes, suffix_array
 from tillhouse.llm.queries import QUERIES
 
@@ -121,3 +122,14 @@ def test_common_prefixes():
         got = common_prefixes(raw, order_, width)
         want = [False] + [raw[a : a + width].tobytes() == raw[b : b + width].tobytes() for a, b in zip(order_, order_[1:])]
         assert got.tolist() == want
+
+
+def test_a_slice_of_runs_does_not_hash_the_whole_chunk_again(monkeypatch):
+    values = np.random.default_rng(3).integers(0, 4, 400).astype(np.uint64)
+    halves = kit.window_hash(values, 3)
+    monkeypatch.setattr(kit, "window_hash", None)
+    first, count = np.array([0, 50, 200]), np.array([40, 100, 190])
+    got = np.concatenate([windows.double(halves, first[i : i + 1], count[i : i + 1], 3, 5) for i in range(3)])
+    words = [tuple(values[i : i + 5]) for f, n in zip(first, count) for i in range(f, f + n)]
+    by_hash, by_words = {}, {}
+    assert [by_hash.setdefault(h, i) for i, h in enumerate(got.tolist())] == [by_words.setdefault(w, i) for i, w in enumerate(words)]

@@ -202,13 +202,15 @@ def find_repeats(
     units_of: Callable[[pa.Table], tuple[Units, object]],
     seed: int,
     width: int,
-    send: Callable[[Units, object, np.ndarray, np.ndarray, np.ndarray], list[np.ndarray]],
+    prepare: Callable[[object], object],
+    send: Callable[[object, np.ndarray, np.ndarray, np.ndarray], list[np.ndarray]],
     resolve: Callable[[list[bytes]], list[np.ndarray]],
     finish: Callable[[pa.Table, Units, object, np.ndarray], pa.Table],
     schema: str,
     label: str,
 ) -> DataFrame:
-    """Run the passes. ``send`` lays out a slice of runs, ``resolve`` finds the repeats of one bucket."""
+    """Run the passes. ``prepare`` works on a chunk once, ``send`` lays out a slice of its runs for one bucket, ``resolve`` finds the
+    repeats of one bucket. A chunk may send to every bucket, so ``send`` must not look at more than its runs."""
     packed = ch.chunked(docs, text, label)
     total = packed.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(8, -(-int(total) // ch.BUCKET_BYTES))
@@ -222,10 +224,10 @@ def find_repeats(
         runs = seed_runs(units, seed, width, buckets)
         repeated = read_bits([(k, s, p) for s, k, p in rows], 1, by_bucket(runs.bucket), len(runs.unique))
         found = contexts(units, runs, repeated, width)
-        out = []
+        out, ready = [], prepare(extra)
         for b, i, j in found.layout:
             run = found.run[i:j]
-            sent = send(units, extra, runs.first[run], found.count[i:j], found.key[i:j])
+            sent = send(ready, runs.first[run], found.count[i:j], found.key[i:j])
             out.append((b, chunk, 2, ch.pack_arrays(found.low[i:j], found.count[i:j].astype(np.uint16), *sent)))
         # a note to itself, so that the last pass need not look for candidates again
         base = np.append(0, np.cumsum(found.count))

@@ -136,7 +136,8 @@ def dedup_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
         lambda table: byte_units(table, text, doc_id),
         min(seed, width // 2 + 1),  # a seed lies inside its window
         width,
-        lambda units, buf, first, count, key: [buf[spans(first, count + width - 1)], key],
+        lambda buf: buf,
+        lambda buf, first, count, key: [buf[spans(first, count + width - 1)], key],
         lambda payloads: array_repeats(payloads, width),
         finish,
         schema,

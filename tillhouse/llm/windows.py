@@ -22,10 +22,9 @@ def word_units(table: pa.Table, text: str, doc_id: str):
     return Units(lambda lo, hi: values[lo:hi], of_doc, document_ids(table[doc_id])), (buf, bounds, starts, ends, values)
 
 
-def double(values: np.ndarray, first: np.ndarray, count: np.ndarray, half: int, width: int) -> np.ndarray:
-    """Hashes of the windows of ``width`` at each run, put together from two overlapping windows of ``half`` words."""
+def double(h: np.ndarray, first: np.ndarray, count: np.ndarray, half: int, width: int) -> np.ndarray:
+    """Hashes of the windows of ``width`` at each run, put together from the hashes ``h`` of two overlapping windows of ``half`` words."""
     at = spans(first, count)
-    h = kit.window_hash(values, half)
     return kit.mix(h[at] * np.uint64(0x9FB21C651E98DF25) + h[at + width - half])
 
 
@@ -88,7 +87,8 @@ def dedup_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
         lambda table: word_units(table, text, doc_id),
         half,
         width,
-        lambda units, extra, first, count, key: [double(extra[4], first, count, half, width)],
+        lambda extra: kit.window_hash(extra[4], half),
+        lambda halves, first, count, key: [double(halves, first, count, half, width)],
         window_repeats,
         finish,
         schema,
