@@ -30,6 +30,22 @@ def test_encoder_equals_the_library():
         assert encode(texts[i : i + 700]) == plain(texts[i : i + 700])
 
 
+def test_words_are_kept_without_the_mark_behind_them():
+    texts = ["stone, water. stone.\nwater, it's. a-b. 3.", "\x01. stone \x01.", "b.. ., water"]
+    encode = tokens.Encoder(PATH)
+    assert encode(texts) == plain(texts)
+    assert {"stone", "water", "it's", "a-b"} <= set(encode.known)
+    assert not {"stone,", "stone.", "water.", "\nwater,", "it's."} & set(encode.known)
+
+
+def test_few_words_are_held_when_few_are_asked_for():
+    texts = [f"w{i} v{i}, common" for i in range(400)]
+    encode = tokens.Encoder(PATH, 100)
+    for i in range(0, 400, 20):
+        assert encode(texts[i : i + 20]) == plain(texts[i : i + 20])
+    assert len(encode.known) < 200
+
+
 def test_a_special_token_in_a_text_is_what_the_library_makes_of_it():
     texts = ["hello <|endoftext|> world", "<|endoftext|>", "plain words here", "hello <|endoftext|> world, and more words"]
     encode = tokens.Encoder(PATH)

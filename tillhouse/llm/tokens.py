@@ -8,6 +8,7 @@ place of each document are stored, so a document, or any range of its ids, is de
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,14 +31,16 @@ LEAST = 4  # occurrences at which a pair becomes a rule
 _CACHED = 1 << 19
 _TOGETHER = 1 << 21  # letters of the texts that are looked up together
 _SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"  # fixed values: white space of ASCII but blank and line feed
+_STOP = re.compile(r"[.,](?<=[A-Za-z].)(?![^ \n])")  # a full stop or comma that ends a word of letters
+_CUT = "\x01"  # in front of such a mark when it is taken off its word
 
 
 def is_plain(text: str) -> bool:
     """Whether all white space is single blanks and line feeds between words."""
     if not text.isascii():
         return " ".join(text.split()) == text.replace("\n", " ")
-    lone = not any(pair in text for pair in ("  ", "\n\n", " \n", "\n "))
-    return lone and not any(c in text for c in _SPACES) and text.strip(" \n") == text
+    spaced = text.replace("\n", " ")
+    return "  " not in spaced and not spaced.startswith(" ") and not spaced.endswith(" ") and not any(c in text for c in _SPACES)
 
 
 class Encoder:
@@ -45,11 +48,11 @@ class Encoder:
 
     A byte-level vocabulary splits a text before it merges bytes: no token joins a blank to the word before it, a single
     line feed stands alone, and a full stop or comma behind letters does too. So texts are taken apart there, the distinct
-    words in between are looked up, and new ones are encoded together. A text that holds an added token of the vocabulary is
-    encoded as it is.
+    words in between are looked up, and new ones are encoded together. A word is kept once, without the mark behind it,
+    and ``cached`` words at most. A text that holds an added token of the vocabulary is encoded as it is.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cached: int = _CACHED) -> None:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -60,34 +63,35 @@ class Encoder:
         letters = set(ByteLevel.alphabet())
         for token, i in vocabulary.items():
             self.size[i] = len(token) if letters.issuperset(token) else 0
-        self.marks = {m: self._encode(m) for m in "\n.,"}
-        self.known: dict[str, bytes] = {"\n": self.marks["\n"]}  # words behind a blank; those at the start of a line, line feed included
+        self.cached = cached
+        self.feed = self._encode("\n")
+        # words behind a blank; those at the start of a line, line feed included; marks that were taken off a word
+        self.known: dict[str, bytes] = {"\n": self.feed} | {_CUT + m: self._encode(m) for m in ".,"}
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     def _learn(self, words: list[str], before: str) -> None:
         """Encode new words as one text, each with ``before`` in front, and take its ids apart by their bytes."""
-        cut = {w: w[:-1] for w in words if w[-1] in ".," and w[:-1].removeprefix("\n").isalpha()}
-        plain = list(dict.fromkeys(cut.get(w, w) for w in words if cut.get(w, w) not in self.known))
-        if plain:
-            codes = np.frombuffer(self._encode(before + before.join(plain)), "<u4")
-            ends = np.cumsum(self.size[codes])
-            sizes = np.array([len(w.encode()) for w in plain], np.int64) + len(before)
-            hi = np.searchsorted(ends, np.cumsum(sizes)) + 1
-            raw, cuts = codes.tobytes(), [0, *(4 * hi).tolist()]
-            self.known.update(zip(plain, [raw[i:j] for i, j in zip(cuts, cuts[1:])]))
-        self.known.update({w: self.known[c] + self.marks[w[-1]] for w, c in cut.items()})
+        if not words:
+            return
+        text = before + before.join(words)
+        codes = np.frombuffer(self._encode(text), "<u4")
+        starts = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == ord(text[0]))
+        hi = np.searchsorted(np.cumsum(self.size[codes]), starts[1:]) + 1
+        raw, cuts = codes.tobytes(), [0, *(4 * hi).tolist(), 4 * len(codes)]
+        self.known.update(zip(words, [raw[i:j] for i, j in zip(cuts, cuts[1:])]))
 
     def _by_words(self, texts: list[str]) -> list[bytes]:
         """Ids of plain texts: distinct words are looked up once, then their ids are gathered for all places."""
+        texts = [_STOP.sub(rf" {_CUT}\g<0>", t) for t in texts]
         lines = "".join(["\n" + t for t in texts]).replace("\n", " \n")
         words = pc.split_pattern(pa.array([lines], pa.large_string()), " ").values[1:].dictionary_encode()
         place = words.indices.to_numpy()
         one = pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary.cast(pa.string()))
         distinct = pc.binary_join(one, " ")[0].as_py().split(" ")  # quicker than one object per word from Arrow
-        if len(self.known) > _CACHED:  # the oldest half holds the frequent words
-            for w in list(self.known)[_CACHED // 2 :]:
+        if len(self.known) > self.cached:  # the oldest half holds the frequent words
+            for w in list(self.known)[self.cached // 2 :]:
                 del self.known[w]
         found = list(map(self.known.get, distinct))
         new = [i for i, code in enumerate(found) if code is None]
@@ -105,14 +109,14 @@ class Encoder:
         raw = codes[at].tobytes()
         last = np.cumsum([t.count(" ") + t.count("\n") + 1 for t in texts]) - 1
         cuts = [0, *(4 * ends[last]).tolist()]
-        return [raw[i + len(self.marks["\n"]) : j] for i, j in zip(cuts, cuts[1:])]  # without the line feed put in front
+        return [raw[i + len(self.feed) : j] for i, j in zip(cuts, cuts[1:])]  # without the line feed put in front
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         held: list[int] = []
         size = 0
         for i, t in enumerate(texts):
-            if not is_plain(t) or any(a in t for a in self.added):
+            if not is_plain(t) or _CUT in t or any(a in t for a in self.added):
                 out[i] = self._encode(t)
                 continue
             held.append(i)
@@ -128,8 +132,8 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, cached: int = _CACHED) -> Encoder:
+    return Encoder(path, cached)
 
 
 _SLOTS = 1 << 20
