@@ -14,24 +14,31 @@ from tillhouse.llm.queries import table, tokenizer_path
 from tillhouse.session import configure, materialize
 
 NEAR_PERCENT = 80  # similarity of shingle sets from which the pipeline takes documents for near copies; op7 has 85
+BATCH_ROWS = 2048  # rows of texts that pass to a Python task at once
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings of a stage. Batches of texts are held by the JVM and by Python at the same time, so they are kept small."""
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules."""
-    configure(spark)
+    prepare(spark)
     return quality.judge(docs).where("kept").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (similarity 0.8 or more): the one with the smallest id."""
-    configure(spark)
+    prepare(spark)
     kept = neardup.near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the bytes that repeat a document with a smaller id; the length follows."""
-    configure(spark)
+    prepare(spark)
     cleaned = suffix.dedup_bytes(docs, as_text=True)
     return cleaned.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
@@ -43,7 +50,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences."""
-    configure(spark)
+    prepare(spark)
     return packing.pack(docs, tokenizer_path())
 
 

@@ -24,6 +24,7 @@ from tillhouse.llm.tokens import END, encoder
 from tillhouse.session import materialize
 
 CAPACITY = 2048
+WORDS = 1 << 18  # words whose ids a task keeps; they go when it ends
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -84,7 +85,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, text: str, doc_id: str, capaci
     """``doc_id, piece, start, length, ids_crc32`` of every piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, WORDS)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             for at in range(0, len(batch), 2048):
@@ -97,6 +98,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, text: str, doc_id: str, capaci
                 cols = list(zip(*rows))
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        encode.forget()
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -67,6 +67,7 @@ class Encoder:
         self.feed = self._encode("\n")
         # words behind a blank; those at the start of a line, line feed included; marks that were taken off a word
         self.known: dict[str, bytes] = {"\n": self.feed} | {_CUT + m: self._encode(m) for m in ".,"}
+        self.always = list(self.known)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
@@ -82,6 +83,10 @@ class Encoder:
         raw, cuts = codes.tobytes(), [0, *(4 * hi).tolist(), 4 * len(codes)]
         self.known.update(zip(words, [raw[i:j] for i, j in zip(cuts, cuts[1:])]))
 
+    def forget(self) -> None:
+        """Drop the words, so that a worker that waits holds the vocabulary only."""
+        self.known = {w: self.known[w] for w in self.always}
+
     def _by_words(self, texts: list[str]) -> list[bytes]:
         """Ids of plain texts: distinct words are looked up once, then their ids are gathered for all places."""
         texts = [_STOP.sub(rf" {_CUT}\g<0>", t) for t in texts]
