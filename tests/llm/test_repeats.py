@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tillhouse.llm import suffix, windows
+from tillhouse.llm import chunks, suffix, windows
 from tillhouse.llm import textkit as kit
 from tillhouse.llm.induced import common_prefixes, suffix_array
 from tillhouse.llm.queries import QUERIES
@@ -133,3 +133,27 @@ def test_a_slice_of_runs_does_not_hash_the_whole_chunk_again(monkeypatch):
     words = [tuple(values[i : i + 5]) for f, n in zip(first, count) for i in range(f, f + n)]
     by_hash, by_words = {}, {}
     assert [by_hash.setdefault(h, i) for i, h in enumerate(got.tolist())] == [by_words.setdefault(w, i) for i, w in enumerate(words)]
+
+
+def test_windows_are_sent_without_their_hashes():
+    rng = np.random.default_rng(4)
+    spans = [(int(i), rng.integers(97, 99, int(n)).astype(np.uint8)) for i, n in enumerate(rng.integers(8, 40, 3000))]
+    spans += [(5000 + i, raw) for i, raw in spans[:1500]] + [(9000, np.full(400_000, 98, np.uint8))]
+    width, payloads = 8, []
+    for part in (spans[:2000], spans[2000:]):
+        low, raws = zip(*part)
+        payloads.append(chunks.pack_arrays(np.array(low), np.array([min(len(r) - width + 1, 60_000) for r in raws], np.uint16), np.concatenate([r[: 60_000 + width - 1] for r in raws])))
+    got = np.concatenate(suffix.array_repeats(payloads, width))
+    windows_ = [(d, bytes(r[i : i + width])) for d, r in spans for i in range(min(len(r) - width + 1, 60_000))]
+    least = {}
+    for d, w in windows_:
+        least[w] = min(least.get(w, d), d)
+    assert got.tolist() == [least[w] < d for d, w in windows_]
+
+
+def test_shuffle_files_go_when_a_step_is_stored(docs, spark):
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").count("shuffle_")
+    frame = docs([(i, f"{i} " + "the same passage in every text, longer than a window of fifty bytes") for i in range(50)]).localCheckpoint()
+    before = files()
+    suffix.dedup_bytes(frame)  # all steps but the last one have run
+    assert files() <= before

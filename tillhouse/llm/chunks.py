@@ -23,13 +23,14 @@ from tillhouse.session import materialize
 
 CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
+PACKED = pa.Codec("zstd", 6)  # a chunk is packed once, but written three times: stored, and sent by two shuffles
 MESSAGE = "dest long, src long, kind int, payload binary"
 _MESSAGE = pa.schema([("dest", pa.int64()), ("src", pa.int64()), ("kind", pa.int32()), ("payload", pa.binary())])
 
 
 def pack_table(table: pa.Table) -> bytes:
     out = io.BytesIO()
-    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression=PACKED)) as w:
         w.write_table(table)
     return out.getvalue()
 
