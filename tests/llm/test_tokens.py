@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -52,6 +53,25 @@ def test_a_special_token_in_a_text_is_what_the_library_makes_of_it():
     assert encode.added and encode(texts) == plain(texts)
 
 
+def test_white_space_and_control_bytes_are_what_the_library_makes_of_them():
+    odd = ["\x01", "\x02.", "a\x03b", "\x85", "\u2003", "\u3000", "\x1c", "\r\n", "\n\n", " \n", "  ", ". ", "é. ", "e, ", ",\n", ".", "\ta"]
+    texts = [f"{a}word. {b}more, é{c}" for a in odd for b in odd for c in odd] + ["", " ", "\n", ".", "end.", "end. "]
+    encode = tokens.Encoder(PATH)
+    assert encode(texts) == plain(texts)
+    assert encode(texts[-6:]) == plain(texts[-6:])
+
+
+def test_a_round_of_few_pairs_takes_small_tables():
+    ids = np.random.default_rng(2).integers(0, 40, 3000).astype("<u4")
+    ends = np.array([1500, 2999])
+    tokens.repair(ids, ends)
+    tracemalloc.start()
+    symbols, rules, lengths, base = tokens.repair(ids, ends)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(rules) and peak < 1 << 20
+
+
 def test_grammar_round_trip_and_random_access():
     """Ids 0 stand inside documents as well as at their ends."""
     rng = np.random.default_rng(1)

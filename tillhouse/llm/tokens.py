@@ -8,7 +8,6 @@ place of each document are stored, so a document, or any range of its ids, is de
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,17 +29,21 @@ SHARD_TOKENS = 1 << 20
 LEAST = 4  # occurrences at which a pair becomes a rule
 _CACHED = 1 << 19
 _TOGETHER = 1 << 21  # letters of the texts that are looked up together
-_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"  # fixed values: white space of ASCII but blank and line feed
-_STOP = re.compile(r"[.,](?<=[A-Za-z].)(?![^ \n])")  # a full stop or comma that ends a word of letters
-_CUT = "\x01"  # in front of such a mark when it is taken off its word
+_WIDE = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))  # fixed values: white space beyond ASCII
+_DOT, _COMMA, _BETWEEN = "\x01", "\x02", "\x03"  # in place of a mark that is taken off its word, and between words
 
 
-def is_plain(text: str) -> bool:
-    """Whether all white space is single blanks and line feeds between words."""
-    if not text.isascii():
-        return " ".join(text.split()) == text.replace("\n", " ")
-    spaced = text.replace("\n", " ")
-    return "  " not in spaced and not spaced.startswith(" ") and not spaced.endswith(" ") and not any(c in text for c in _SPACES)
+def _classes(*groups: bytes) -> np.ndarray:
+    """For each byte the number of its group, from 1; 0 for all others."""
+    table = np.zeros(256, np.uint8)
+    for number, group in enumerate(groups, 1):
+        table[list(group)] = number
+    return table
+
+
+_GAP, _ODD, _MARK = 1, 2, 3
+_KIND = _classes(b" \n", b"\x01\x02\x03\t\x0b\x0c\r\x1c\x1d\x1e\x1f", b".,")
+_LETTER = _classes(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") > 0
 
 
 class Encoder:
@@ -65,20 +68,20 @@ class Encoder:
             self.size[i] = len(token) if letters.issuperset(token) else 0
         self.cached = cached
         self.feed = self._encode("\n")
-        # words behind a blank; those at the start of a line, line feed included; marks that were taken off a word
-        self.known: dict[str, bytes] = {"\n": self.feed} | {_CUT + m: self._encode(m) for m in ".,"}
+        # words behind a blank, without it; those at the start of a line, line feed included; marks that were taken off a word
+        self.known: dict[str, bytes] = {"\n": self.feed, _DOT: self._encode("."), _COMMA: self._encode(",")}
         self.always = list(self.known)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str], before: str) -> None:
-        """Encode new words as one text, each with ``before`` in front, and take its ids apart by their bytes."""
+    def _learn(self, words: list[str]) -> None:
+        """Encode new words as one text and take its ids apart by their bytes."""
         if not words:
             return
-        text = before + before.join(words)
+        text = "".join([w if w[0] == "\n" else " " + w for w in words])
         codes = np.frombuffer(self._encode(text), "<u4")
-        starts = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == ord(text[0]))
+        starts = np.flatnonzero(_KIND[np.frombuffer(text.encode(), np.uint8)] == _GAP)
         hi = np.searchsorted(np.cumsum(self.size[codes]), starts[1:]) + 1
         raw, cuts = codes.tobytes(), [0, *(4 * hi).tolist(), 4 * len(codes)]
         self.known.update(zip(words, [raw[i:j] for i, j in zip(cuts, cuts[1:])]))
@@ -88,20 +91,45 @@ class Encoder:
         self.known = {w: self.known[w] for w in self.always}
 
     def _by_words(self, texts: list[str]) -> list[bytes]:
-        """Ids of plain texts: distinct words are looked up once, then their ids are gathered for all places."""
-        texts = [_STOP.sub(rf" {_CUT}\g<0>", t) for t in texts]
-        lines = "".join(["\n" + t for t in texts]).replace("\n", " \n")
-        words = pc.split_pattern(pa.array([lines], pa.large_string()), " ").values[1:].dictionary_encode()
+        """Ids of texts: distinct words are looked up once, then their ids are gathered for all places.
+
+        Plain texts only: all white space is single blanks and line feeds between words. The others are encoded as they are.
+        """
+        parts = [t.encode() for t in texts]
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+        begin = np.cumsum(lengths) - lengths  # of the line feed put in front of each text
+        buf = np.frombuffer(b"\n" + b"\n".join(parts) + b"\n", np.uint8).copy()
+        kinds = _KIND[buf]
+        at = np.flatnonzero(kinds)
+        kind = kinds[at]
+        gap = kind == _GAP
+        double = gap[:-1] & gap[1:] & (np.diff(at) == 1)
+        bad = np.append(at[:-1][double], at[kind == _ODD])
+        if len(bad):
+            bad = set((np.searchsorted(begin, bad, side="right") - 1).tolist())
+            good = [t for i, t in enumerate(texts) if i not in bad]
+            codes_of = iter(self._by_words(good) if good else [])
+            return [self._encode(t) if i in bad else next(codes_of) for i, t in enumerate(texts)]
+
+        # a word starts with the blank or line feed in front of it; a full stop or comma that ends a word of letters is one of its own
+        mark = at[kind == _MARK]
+        alone = _LETTER[buf[mark - 1]] & (kinds[mark + 1] == _GAP)
+        gap[kind == _MARK] = alone
+        starts = at[gap][:-1]
+        mark = mark[alone]
+        buf[mark] = np.where(buf[mark] == ord("."), ord(_DOT), ord(_COMMA))
+        offsets = np.append(starts, len(buf) - 1).astype(np.int64)
+        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(buf)).dictionary_encode()
         place = words.indices.to_numpy()
         one = pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary.cast(pa.string()))
-        distinct = pc.binary_join(one, " ")[0].as_py().split(" ")  # quicker than one object per word from Arrow
+        # quicker than one object per word from Arrow; the first word has a line feed, the others lose the blank in front
+        distinct = pc.binary_join(one, _BETWEEN)[0].as_py().replace(_BETWEEN + " ", _BETWEEN).split(_BETWEEN)
         if len(self.known) > self.cached:  # the oldest half holds the frequent words
             for w in list(self.known)[self.cached // 2 :]:
                 del self.known[w]
         found = list(map(self.known.get, distinct))
         new = [i for i, code in enumerate(found) if code is None]
-        self._learn([distinct[i] for i in new if distinct[i][0] != "\n"], " ")
-        self._learn([distinct[i] for i in new if distinct[i][0] == "\n"], "")
+        self._learn([distinct[i] for i in new])
         for i in new:
             found[i] = self.known[distinct[i]]
         codes = np.frombuffer(b"".join(found), "<u4")
@@ -109,11 +137,11 @@ class Encoder:
         first = (np.cumsum(sizes) - sizes)[place]
         sizes = sizes[place]
         ends = np.cumsum(sizes)
-        at = np.repeat(first - ends + sizes, sizes)
-        at += np.arange(len(at))
-        raw = codes[at].tobytes()
-        last = np.cumsum([t.count(" ") + t.count("\n") + 1 for t in texts]) - 1
-        cuts = [0, *(4 * ends[last]).tolist()]
+        short = np.int32 if max(int(ends[-1]), len(codes)) < 1 << 31 else np.int64
+        gather = np.repeat((first - ends + sizes).astype(short), sizes)
+        gather += np.arange(len(gather), dtype=short)
+        raw = codes[gather].tobytes()
+        cuts = [*(4 * (ends - sizes)[np.searchsorted(starts, begin)]).tolist(), len(raw)]
         return [raw[i + len(self.feed) : j] for i, j in zip(cuts, cuts[1:])]  # without the line feed put in front
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -121,7 +149,9 @@ class Encoder:
         held: list[int] = []
         size = 0
         for i, t in enumerate(texts):
-            if not is_plain(t) or _CUT in t or any(a in t for a in self.added):
+            if not t:
+                continue
+            if any(a in t for a in self.added) or not t.isascii() and any(c in t for c in _WIDE):
                 out[i] = self._encode(t)
                 continue
             held.append(i)
@@ -141,11 +171,8 @@ def encoder(path: str, cached: int = _CACHED) -> Encoder:
     return Encoder(path, cached)
 
 
-_SLOTS = 1 << 20
-
-
-def _slots(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
+def _slots(pairs: np.ndarray, bits: int) -> np.ndarray:
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
 
 
 def repair(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -163,32 +190,32 @@ def repair(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.nd
     at = np.flatnonzero((s[:-1] != end) & (s[1:] != end))
     pairs = ((s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:])[at]
     while len(at):
-        # count by a hash first: only pairs in well-filled slots can be frequent
-        slot = _slots(pairs)
-        some = (np.bincount(slot, minlength=_SLOTS) >= least)[slot]
-        at, pairs, slot = at[some], pairs[some], slot[some]
         ordered = np.sort(pairs)
-        head = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
-        counts = np.diff(np.append(head, len(ordered)))
-        chosen = ordered[head[counts >= least]]
+        head = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        chosen = ordered[head[np.diff(np.append(head, len(ordered))) >= least]]
         if not len(chosen):
             break
-        # most chosen pairs have a slot of their own; the few others are searched for
-        own = _slots(chosen)
-        in_slot = np.zeros(_SLOTS, np.int32)
-        in_slot[own] = np.arange(len(chosen))
-        rule = in_slot[slot].astype(np.int64)
+        # pairs find their rule by a slot; of the rules that share a slot one has it, and pairs of the others are searched for
+        bits = min(max((16 * len(chosen)).bit_length(), 10), 20)
+        own, rules_made = _slots(chosen, bits), np.arange(len(chosen), dtype=np.int32)
+        in_slot = np.zeros(1 << bits, np.int32)
+        in_slot[own] = rules_made
+        slot = _slots(pairs, bits)
+        rule = in_slot[slot]
         hit = chosen[rule] == pairs
-        shared = np.bincount(own, minlength=_SLOTS) > 1
-        other = np.flatnonzero(~hit & shared[slot])
-        rule[other] = np.minimum(np.searchsorted(chosen, pairs[other]), len(chosen) - 1)
-        hit[other] = chosen[rule[other]] == pairs[other]
+        lost = own[in_slot[own] != rules_made]
+        if len(lost):
+            shared = np.zeros(1 << bits, bool)
+            shared[lost] = True
+            other = np.flatnonzero(~hit)
+            other = other[shared[slot[other]]]
+            rule[other] = np.minimum(np.searchsorted(chosen, pairs[other]), len(chosen) - 1)
+            hit[other] = chosen[rule[other]] == pairs[other]
         at, rule = at[hit], rule[hit]
+        place = np.arange(len(at), dtype=np.int32)
         row = np.append(True, np.diff(at) != 1)
-        first = np.flatnonzero(row)
-        within = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
-        take = within % 2 == 0
-        at, rule = at[take], rule[take]
+        take = (place - np.maximum.accumulate(np.where(row, place, 0))) % 2 == 0  # every other one of those in a row
+        at, rule = at[take], rule[take].astype(np.int64)
         left, right = (chosen >> np.uint64(32)).astype(np.uint32), (chosen & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         known = np.concatenate(lengths)
         size = lambda x: np.where(x < base, 1, known[np.maximum(x.astype(np.int64) - base, 0)] if len(known) else 1)
@@ -196,7 +223,9 @@ def repair(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.nd
         lengths.append(size(left) + size(right))
         s[at] = (base + made + rule).astype(np.uint32)
         made += len(chosen)
-        s = np.delete(s, at + 1)
+        keep = np.ones(len(s), bool)
+        keep[at + 1] = False
+        s = s[keep]
         # every chosen pair is replaced or broken up by now, and the others only became rarer: next come pairs with a new symbol
         new = at - np.arange(len(at))
         touched = np.zeros(len(s) + 1, bool)
