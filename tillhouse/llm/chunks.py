@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm.ship import ship_package
+from tillhouse.llm.textkit import give_back, giving_back
 from tillhouse.session import materialize
 
 CHUNK_BYTES = 2 << 20
@@ -89,7 +90,7 @@ def chunked(df: DataFrame, text: str, label: str, target: int = CHUNK_BYTES) ->
             yield flush()
 
     ship_package(df.sparkSession)
-    out = df.mapInArrow(pack, "dest long, n_bytes long, payload binary")
+    out = df.mapInArrow(giving_back(pack), "dest long, n_bytes long, payload binary")
     return materialize(out, label)
 
 
@@ -105,7 +106,7 @@ def each(chunks: DataFrame, work: Callable[[int, bytes], list]) -> DataFrame:
             for dest, payload in zip(batch.column("dest").to_pylist(), batch.column("payload")):
                 yield from messages(work(dest, payload.as_py())).to_batches()
 
-    return chunks.mapInArrow(run, MESSAGE)
+    return chunks.mapInArrow(giving_back(run), MESSAGE)
 
 
 def gathered(msgs: DataFrame, work: Callable[[int, list], list]) -> DataFrame:
@@ -113,7 +114,9 @@ def gathered(msgs: DataFrame, work: Callable[[int, list], list]) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(zip(table["src"].to_pylist(), table["kind"].to_pylist(), table["payload"].to_pylist()), key=lambda r: r[:2])
-        return messages(work(table["dest"][0].as_py(), rows))
+        out = messages(work(table["dest"][0].as_py(), rows))
+        give_back()
+        return out
 
     return msgs.groupBy("dest").applyInArrow(run, MESSAGE)
 
@@ -123,6 +126,8 @@ def concluded(msgs: DataFrame, work: Callable[[list], pa.Table], schema: str) ->
 
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(zip(table["kind"].to_pylist(), table["src"].to_pylist(), table["payload"].to_pylist()), key=lambda r: r[:2])
-        return work(rows)
+        out = work(rows)
+        give_back()
+        return out
 
     return msgs.groupBy("dest").applyInArrow(run, schema)

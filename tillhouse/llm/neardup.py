@@ -111,7 +111,7 @@ def sketches(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                     names=["id", "n", "h1", "h2", "keys", "sketch"],
                 )
 
-    return docs.select(doc_id, text).mapInArrow(run, "id long, n long, h1 long, h2 long, keys array<long>, sketch binary")
+    return docs.select(doc_id, text).mapInArrow(kit.giving_back(run), "id long, n long, h1 long, h2 long, keys array<long>, sketch binary")
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -190,7 +190,7 @@ def sketch_links(nodes: DataFrame, share: float) -> DataFrame:
             if pairs:
                 yield _edges(pairs, ids)
 
-    return nodes.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j").select("node", "i", "j", "c", "n", "sketch").mapInArrow(run, "a long, b long")
+    return nodes.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j").select("node", "i", "j", "c", "n", "sketch").mapInArrow(kit.giving_back(run), "a long, b long")
 
 
 def exact_links(sets: DataFrame, percent: int) -> DataFrame:
@@ -223,7 +223,7 @@ def exact_links(sets: DataFrame, percent: int) -> DataFrame:
             if pairs:
                 yield _edges(pairs, ids)
 
-    return sets.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j").select("group", "i", "j", "c", "shingles").mapInArrow(run, "a long, b long")
+    return sets.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j").select("group", "i", "j", "c", "shingles").mapInArrow(kit.giving_back(run), "a long, b long")
 
 
 def tree_nodes(classes: DataFrame) -> DataFrame:
@@ -280,7 +280,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     wanted = joined.select(F.col("node").alias("c"), F.col("component").alias("group"), "m")
     texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("c"), F.col(text).alias("text"))
-    sets = texts.join(wanted, "c").select("group", "m", "c", "text").mapInArrow(to_sets, "group long, m long, c long, shingles binary")
+    sets = texts.join(wanted, "c").select("group", "m", "c", "text").mapInArrow(kit.giving_back(to_sets), "group long, m long, c long, shingles binary")
     links = exact_links(split_blocks(sets.where(F.length("shingles") > 0), "m", GROUP_ROWS, "c"), percent)
     found = components(links)
     classes = classes.select("h1", "h2", "n", "c").join(found.withColumnRenamed("node", "c"), "c", "left")

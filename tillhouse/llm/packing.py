@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillhouse.llm.ship import ship_package
+from tillhouse.llm.textkit import giving_back
 from tillhouse.llm.tokens import END, encoder
 from tillhouse.session import materialize
 
@@ -99,10 +100,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, text: str, doc_id: str, capaci
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
         encode.forget()
-        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(giving_back(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:

@@ -6,7 +6,9 @@ They are the same in every process: the tables come from a fixed seed.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,26 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _known_powers[0], _known_powers[1]
 
 
+def give_back() -> None:
+    """Return to the system what a task has freed. A Python worker waits for its next task beside the JVM, with all it still holds."""
+    _known_powers.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's own; other systems return memory by themselves
+    if trim:
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` of a task that gives its memory back when it ends, after its last batch and its variables are gone."""
+
+    @wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every bit of the input over the whole word (in place)."""
     h ^= h >> U(31)

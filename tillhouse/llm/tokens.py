@@ -28,7 +28,7 @@ END = 0
 SHARD_TOKENS = 1 << 20
 LEAST = 4  # occurrences at which a pair becomes a rule
 _CACHED = 1 << 19
-_TOGETHER = 1 << 21  # letters of the texts that are looked up together
+_TOGETHER = 1 << 19  # letters of the texts that are looked up together
 _WIDE = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))  # fixed values: white space beyond ASCII
 _DOT, _COMMA, _BETWEEN = "\x01", "\x02", "\x03"  # in place of a mark that is taken off its word, and between words
 
