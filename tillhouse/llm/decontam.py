@@ -84,8 +84,12 @@ def anchors(found: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def starts(index: DataFrame, rare: DataFrame) -> DataFrame:
-    """Places ``phrase, doc, sig, start`` where both anchors stand at their offsets."""
-    dealt = index.withColumn("part", part_of("sig", "doc"))
+    """Places ``phrase, doc, sig, start`` where both anchors stand at their offsets.
+
+    Most postings are of terms that anchor no phrase; they are left out before anything is shuffled.
+    """
+    terms = rare.select(F.explode(F.array("t1", "t2")).alias("term")).distinct()
+    dealt = materialize(index.join(terms, "term", "left_semi"), "anchored").withColumn("part", part_of("sig", "doc"))
     first = dealt.join(in_all_parts(rare.withColumnRenamed("t1", "term")), ["term", "part"])
     first = first.select("phrase", "t2", "o2", "doc", "sig", (F.col("pos") - F.col("o1")).alias("start")).where("start >= 0")
     other = dealt.join(in_all_parts(rare.select(F.col("t2").alias("term")).distinct()), ["term", "part"], "left_semi")
